@@ -27,10 +27,14 @@ def collect_per_key(log: DataFrame, key: str, cols: list[str], order_col: str, t
         F.count(F.lit(1)).alias(count_name),
         F.max(ts_col).alias(last_name),
     )
-    return agg.select(key, *[F.transform("_l", lambda x, c=c: x[c]).alias(n) for c, n in zip(cols, list_names)],
+    return agg.select(key, *[_field_of("_l", c).alias(n) for c, n in zip(cols, list_names)],
                       count_name, last_name)
 
 
+def _field_of(arr: str, field: str) -> Column:
+    return F.transform(arr, lambda x: x.getField(field))
+
+
 def conditions_latest(conditions: DataFrame) -> DataFrame:
     return collect_per_key(conditions, "patient_id", ["condition_name", "severity"], "rec_offset", "updated_at",
                            "condition_count", list_names=["conditions", "severities"])

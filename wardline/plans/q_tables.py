@@ -1 +1,116 @@
-"""placeholder"""
+"""Streaming-table queries: per-patient lists, windowed statistics,
+throughput, data-quality stream, typed stream declarations, connectors."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wardline.operators import tables
+from wardline.plans.fixture_sql import with_fixtures as W
+from wardline.plans.q_ingest import enriched
+from wardline.plans.registry import register
+from wardline.sources import fixtures as fx
+from wardline.sources import stream
+
+
+def _json_lists(df, *cols):
+    return df.select(*[F.to_json(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("conditions_latest", W("""
+    SELECT patient_id, to_json(list(condition_name ORDER BY rec_offset))::varchar AS conditions,
+           to_json(list(severity ORDER BY rec_offset))::varchar AS severities,
+           count(*) AS condition_count, max(updated_at) AS last_updated
+    FROM conditions GROUP BY patient_id""", "conditions"))
+def q_conditions_latest(spark, d):
+    return _json_lists(tables.conditions_latest(fx.conditions(spark, d)), "conditions", "severities")
+
+
+@register("medications_latest", W("""
+    SELECT patient_id, to_json(list(medication_name ORDER BY rec_offset))::varchar AS medications,
+           to_json(list(dosage ORDER BY rec_offset))::varchar AS dosages,
+           count(*) AS medication_count, max(updated_at) AS last_updated
+    FROM medications GROUP BY patient_id""", "medications"))
+def q_medications_latest(spark, d):
+    return _json_lists(tables.medications_latest(fx.medications(spark, d)), "medications", "dosages")
+
+
+@register("vitals_hourly_stats", W("""
+    SELECT patient_id, vital_type, epoch_ms(date_trunc('hour', ingest_ts)) AS window_start,
+           epoch_ms(date_trunc('hour', ingest_ts) + INTERVAL 1 hour) AS window_end,
+           count(*) AS reading_count, avg(value) AS avg_value, min(value) AS min_value, max(value) AS max_value,
+           arg_max(value, rec_offset) FILTER (WHERE value IS NOT NULL) AS latest_value,
+           arg_min(value, rec_offset) FILTER (WHERE value IS NOT NULL) AS earliest_value
+    FROM enriched GROUP BY ALL""", "enriched"))
+def q_vitals_hourly_stats(spark, d):
+    return tables.window_stats(enriched(spark, d))
+
+
+@register("source_throughput", W("""
+    SELECT source_system, epoch_ms(date_trunc('minute', ingest_ts)) AS window_start, count(*) AS message_count
+    FROM observations GROUP BY ALL""", "observations"))
+def q_source_throughput(spark, d):
+    return tables.window_count(fx.observations(spark, d))
+
+
+@register("integration_health", W("""
+    SELECT source_system, vital_type,
+           CASE WHEN value IS NULL THEN 'NULL_VALUE' WHEN value < 0 THEN 'NEGATIVE_VALUE' ELSE 'VALID' END
+             AS quality_status,
+           value, "timestamp" AS event_time, rec_offset
+    FROM enriched""", "enriched"))
+def q_integration_health(spark, d):
+    return tables.integration_health(enriched(spark, d))
+
+
+@register("vitals_stream", W("SELECT * EXCLUDE (ingest_ts) FROM enriched", "enriched"))
+def q_vitals_stream(spark, d):
+    return stream.declare_stream(enriched(spark, d), stream.VITALS_STREAM)
+
+
+@register("conditions_stream", W("""
+    SELECT patient_id, condition_code, condition_name, status, severity,
+           cast(updated_at as varchar) AS updated_at, rec_offset
+    FROM conditions""", "conditions"))
+def q_conditions_stream(spark, d):
+    # fields the source does not carry are typed nulls in the declared
+    # stream; the check compares the populated ones
+    s = stream.declare_stream(fx.conditions(spark, d), stream.CONDITIONS_STREAM)
+    return s.drop("id", "diagnosed_date", "notes", "created_at")
+
+
+@register("medications_stream", W("""
+    SELECT patient_id, medication_name, dosage, frequency, route, status,
+           cast(updated_at as varchar) AS updated_at, rec_offset
+    FROM medications""", "medications"))
+def q_medications_stream(spark, d):
+    s = stream.declare_stream(fx.medications(spark, d), stream.MEDICATIONS_STREAM)
+    return s.drop("id", "prescriber", "start_date", "end_date", "notes", "created_at")
+
+
+_MED_FIELDS = ["patient_id", "medication_name", "dosage", "frequency", "route", "status"]
+
+
+@register("cdc_unwrap", W("""
+    SELECT rec_offset, patient_id, medication_name, dosage, frequency, route, status, op AS __op,
+           epoch_ms(updated_at) AS __source_ts_ms, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS __deleted
+    FROM medications""", "medications"))
+def q_cdc_unwrap(spark, d):
+    env = stream.change_envelope(fx.medications(spark, d), "op", "updated_at", _MED_FIELDS)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _MED_FIELDS])
+    return stream.cdc_unwrap(env, schema)
+
+
+@register("incremental_poll", W("""
+    SELECT * FROM conditions WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'""", "conditions"))
+def q_incremental_poll(spark, d):
+    return stream.incremental_poll(fx.conditions(spark, d), "updated_at", "2000-01-01 00:00:00")
+
+
+@register("topic_route", W("""
+    SELECT rec_offset, 'patient-conditions' AS topic, patient_id AS "key" FROM conditions""", "conditions"))
+def q_topic_route(spark, d):
+    c = fx.conditions(spark, d).withColumn("topic", F.lit("patient_conditions"))
+    c = stream.value_to_key(stream.topic_route(c, "topic", "patient_conditions", "patient-conditions"), "patient_id")
+    return c.select("rec_offset", "topic", "key")

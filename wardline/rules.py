@@ -82,12 +82,13 @@ RETENTION_DAYS = [
     ("patient-medications", 90),
     ("integration-health", 7),
     ("risk-alerts", 90),
-    ("patient-vitals-dlq", None),
+    ("dead-letter-queue", None),
 ]
 VITALS_TOPIC = "patient-vitals"
-DLQ_TOPIC = "patient-vitals-dlq"
+DLQ_TOPIC = "dead-letter-queue"
 PRODUCER_SOURCE = "csv_lab_export"
 RISK_SOURCE = "snowflake_cortex_readmission_model"
+RISK_TOPIC = "patient-risk-scores"
 
 # --- fixed values: DLQ root-cause keyword classes (ordered) ---------------
 ROOT_CAUSES = [
