@@ -1 +1,178 @@
-"""placeholder"""
+"""Patient-context queries: latest values, bounded history, trends, upserted
+lists, the three-source merge, TTL episodes and the live view."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from wardline.operators import context as ctx
+from wardline.plans.fixture_sql import add_fixture, with_fixtures as W
+from wardline.plans.q_ingest import enriched
+from wardline.plans.registry import register
+from wardline.sources import fixtures as fx
+
+AS_OF = fx.AS_OF_EVENTS
+
+add_fixture("readings", ["enriched"], """
+    SELECT * FROM (SELECT *, CASE vital_type WHEN '8867-4' THEN 'heart_rate' WHEN '8480-6' THEN 'systolic_bp'
+                   WHEN '8462-4' THEN 'diastolic_bp' WHEN '2708-6' THEN 'oxygen_saturation'
+                   WHEN '9279-1' THEN 'respiratory_rate' WHEN '8310-5' THEN 'temperature' END AS vital
+                   FROM enriched) WHERE vital IS NOT NULL""")
+add_fixture("history", ["readings"], """
+    SELECT * FROM (SELECT patient_id, vital, rec_offset, value, "timestamp",
+                   cast(row_number() OVER (PARTITION BY patient_id, vital ORDER BY rec_offset DESC) as integer) AS rn
+                   FROM readings) WHERE rn <= 10""")
+add_fixture("trends", ["history"], """
+    SELECT patient_id, vital,
+           CASE WHEN isnan(_last - _first) THEN 'stable' WHEN _last - _first > 0 THEN 'rising'
+                WHEN _last - _first < 0 THEN 'falling' ELSE 'stable' END AS direction,
+           round(_last - _first, 2) AS change,
+           round(CASE WHEN _first <> 0 THEN (_last - _first) / _first * 100 ELSE 0.0 END, 2) AS pct_change,
+           readings
+    FROM (SELECT patient_id, vital, count(*) AS readings, arg_min(value, rec_offset) AS _first,
+                 arg_max(value, rec_offset) AS _last
+          FROM history GROUP BY patient_id, vital HAVING count(*) >= 2)""")
+add_fixture("latest", ["readings"], """
+    SELECT patient_id, vital, arg_max(value, rec_offset) AS value, arg_max(units, rec_offset) AS units,
+           arg_max("timestamp", rec_offset) AS "timestamp", max(rec_offset) AS rec_offset
+    FROM readings GROUP BY patient_id, vital""")
+add_fixture("current", ["latest", "trends"], """
+    SELECT l.patient_id, l.vital, l.value, l.units, l."timestamp", t.direction IS NOT NULL AS has_trend,
+           coalesce(t.direction, 'stable') AS direction, coalesce(t.pct_change, 0.0) AS pct_change
+    FROM latest l LEFT JOIN trends t ON l.patient_id = t.patient_id AND l.vital = t.vital""")
+add_fixture("lconds", ["conditions"], """
+    SELECT patient_id, condition_name AS name, arg_max(condition_code, rec_offset) AS condition_code,
+           arg_max(status, rec_offset) AS status, arg_max(severity, rec_offset) AS severity,
+           min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
+    FROM conditions WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, condition_name""")
+add_fixture("lmeds", ["medications"], """
+    SELECT patient_id, medication_name AS name, arg_max(dosage, rec_offset) AS dosage,
+           arg_max(frequency, rec_offset) AS frequency, arg_max(route, rec_offset) AS route,
+           arg_max(status, rec_offset) AS status, min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
+    FROM medications WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, medication_name""")
+add_fixture("context", ["readings", "lconds", "lmeds"], """
+    SELECT coalesce(v.patient_id, c.patient_id, m.patient_id) AS patient_id,
+           coalesce(v.patient_age, 0) AS patient_age, coalesce(v.patient_gender, '') AS patient_gender,
+           coalesce(v.vital_count, 0) AS vital_count, coalesce(v.vital_readings, 0) AS vital_readings,
+           coalesce(c.n, 0) AS condition_count, coalesce(m.n, 0) AS medication_count,
+           coalesce(c.names, '[]') AS conditions, coalesce(m.names, '[]') AS medications
+    FROM (SELECT patient_id, arg_max(patient_age, rec_offset) AS patient_age,
+                 arg_max(patient_gender, rec_offset) AS patient_gender, count(DISTINCT vital) AS vital_count,
+                 count(*) AS vital_readings
+          FROM readings GROUP BY patient_id) v
+    FULL OUTER JOIN (SELECT patient_id, count(*) AS n, to_json(list(name ORDER BY first_offset))::varchar AS names
+                     FROM lconds GROUP BY patient_id) c ON v.patient_id = c.patient_id
+    FULL OUTER JOIN (SELECT patient_id, count(*) AS n, to_json(list(name ORDER BY first_offset))::varchar AS names
+                     FROM lmeds GROUP BY patient_id) m ON coalesce(v.patient_id, c.patient_id) = m.patient_id""")
+add_fixture("episodes", ["readings"], """
+    SELECT patient_id, cast(episode as bigint) AS episode, min(ingest_ts) AS started_at,
+           max(ingest_ts) AS last_update, count(*) AS updates, max(ingest_ts) + INTERVAL 86400 SECOND AS expires_at
+    FROM (SELECT *, sum(_new) OVER (PARTITION BY patient_id ORDER BY ingest_ts, rec_offset
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode
+          FROM (SELECT patient_id, ingest_ts, rec_offset,
+                       CASE WHEN lag(ingest_ts) OVER w IS NULL
+                              OR epoch_us(ingest_ts) - epoch_us(lag(ingest_ts) OVER w) > 86400000000
+                            THEN 1 ELSE 0 END AS _new
+                FROM readings WINDOW w AS (PARTITION BY patient_id ORDER BY ingest_ts, rec_offset)))
+    GROUP BY patient_id, episode""")
+
+
+def readings(spark, d):
+    return ctx.vital_readings(enriched(spark, d))
+
+
+def context(spark, d):
+    return ctx.patient_context(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+
+
+def current(spark, d):
+    return ctx.current_vitals(readings(spark, d))
+
+
+@register("latest_vitals", W("SELECT * FROM latest", "latest"))
+def q_latest_vitals(spark, d):
+    return ctx.latest_vitals(readings(spark, d))
+
+
+@register("vitals_history", W("SELECT * FROM history", "history"))
+def q_vitals_history(spark, d):
+    return ctx.vitals_history(readings(spark, d))
+
+
+@register("vital_trends", W("SELECT * FROM trends", "trends"))
+def q_vital_trends(spark, d):
+    return ctx.vital_trends(ctx.vitals_history(readings(spark, d)))
+
+
+@register("patient_summary", W("SELECT * FROM current", "current"))
+def q_patient_summary(spark, d):
+    return current(spark, d).select("patient_id", "vital", "value", "units", "timestamp", "has_trend",
+                                    "direction", "pct_change")
+
+
+@register("latest_conditions", W("SELECT * FROM lconds", "lconds"))
+def q_latest_conditions(spark, d):
+    return ctx.latest_conditions(fx.conditions(spark, d))
+
+
+@register("latest_medications", W("SELECT * FROM lmeds", "lmeds"))
+def q_latest_medications(spark, d):
+    return ctx.latest_medications(fx.medications(spark, d))
+
+
+@register("latest_medications_deletes", W("""
+    SELECT g.patient_id, g.name, g.dosage, g.frequency, g.route, g.status,
+           (SELECT min(x.rec_offset) FROM medications x
+             WHERE x.patient_id = g.patient_id AND x.medication_name = g.name
+               AND (g._del IS NULL OR x.rec_offset > g._del)) AS first_offset,
+           g.last_offset
+    FROM (SELECT patient_id, medication_name AS name, arg_max(dosage, rec_offset) AS dosage,
+                 arg_max(frequency, rec_offset) AS frequency, arg_max(route, rec_offset) AS route,
+                 arg_max(status, rec_offset) AS status, arg_max(op, rec_offset) AS _op,
+                 max(CASE WHEN op = 'd' THEN rec_offset END) AS _del, max(rec_offset) AS last_offset
+          FROM medications WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, medication_name) g
+    WHERE g._op <> 'd'""", "medications"))
+def q_latest_medications_deletes(spark, d):
+    return ctx.latest_medications(fx.medications(spark, d), apply_deletes=True)
+
+
+@register("patient_context", W("SELECT * FROM context", "context"))
+def q_patient_context(spark, d):
+    c = context(spark, d)
+    return c.withColumn("conditions", F.to_json("conditions")).withColumn("medications", F.to_json("medications"))
+
+
+@register("patient_context_doc")
+def q_patient_context_doc(spark, d):
+    doc = ctx.context_document(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    return doc.select("patient_id", "patient_age", "patient_gender",
+                      *[F.to_json(c).alias(c) for c in ("vitals", "vitals_history", "conditions", "medications")])
+
+
+@register("context_episodes", W("SELECT * FROM episodes", "episodes"))
+def q_context_episodes(spark, d):
+    return ctx.context_episodes(readings(spark, d))
+
+
+@register("context_live", W(f"""
+    SELECT patient_id, episode, started_at, last_update, updates, expires_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY episode DESC) AS _r FROM episodes)
+    WHERE _r = 1 AND expires_at >= TIMESTAMP '{AS_OF}'""", "episodes"))
+def q_context_live(spark, d):
+    return ctx.context_live(ctx.context_episodes(readings(spark, d)), AS_OF)
+
+
+@register("all_patients", W("""
+    SELECT patient_id FROM readings UNION SELECT patient_id FROM conditions
+    UNION SELECT patient_id FROM medications""", "readings", "conditions", "medications"))
+def q_all_patients(spark, d):
+    return ctx.all_patients(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+
+
+@register("total_patients", W("""
+    SELECT count(DISTINCT patient_id) AS total_patients FROM (
+      SELECT patient_id FROM readings UNION ALL SELECT patient_id FROM conditions
+      UNION ALL SELECT patient_id FROM medications)""", "readings", "conditions", "medications"))
+def q_total_patients(spark, d):
+    ids = ctx.all_patients(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    return ids.agg(F.count(F.lit(1)).alias("total_patients"))
