@@ -163,7 +163,9 @@ def with_fixtures(body: str, *names: str) -> str:
     for n in names:
         add(n)
     ctes = ",\n".join(f"{n} AS ({FIXTURES[n][1]}\n)" for n in order)
-    return f"WITH {ctes}\n{body}"
+    # a body starting with "," adds its own CTEs to the list
+    sep = "" if body.lstrip().startswith(",") else "\n"
+    return f"WITH {ctes}{sep}{body}"
 
 
 def add_fixture(name: str, deps: list[str], sql: str) -> None:
