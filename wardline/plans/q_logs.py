@@ -41,7 +41,7 @@ def q_topic_sizes(spark, d):
 
 @register("compact_log", W(f"""
     SELECT * FROM topic_log WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 3600 SECOND
-    UNION ALL
+    UNION ALL BY NAME
     SELECT * FROM (SELECT topic, "partition", "key", arg_max("offset", "offset") AS "offset",
                           arg_max_null("value", "offset") AS "value", arg_max(ts, "offset") AS ts
                    FROM topic_log WHERE ts < TIMESTAMP '{AS_OF}' - INTERVAL 3600 SECOND GROUP BY ALL)
