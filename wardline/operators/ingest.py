@@ -23,6 +23,8 @@ def patients_dim(patients: DataFrame, order_col: str | None = None) -> DataFrame
     "Last" is ``order_col`` when given, else the scan position
     (``monotonically_increasing_id`` grows with file order).  ``max_by`` is a
     partial aggregate, so duplicates are folded map-side before the shuffle.
+    As the static side of a stream-static join, materialise the result once
+    (``.checkpoint()`` into ``spark.checkpoint.dir``).
     """
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     cols = [c for c in patients.columns if c != "Id"]

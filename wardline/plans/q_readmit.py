@@ -243,3 +243,14 @@ def q_readmission_model(spark, d):
     feats = rm.training_features(readm(spark, d), fx.patients(spark, d), fx.conditions(spark, d),
                                  fx.medications(spark, d))
     return rm.readmission_model(feats)
+
+
+@register("adhoc_sql", W("""
+    SELECT json_object('risk_level', risk_level, 'stays', count(*), 'avg_pct', round(avg(risk_pct), 2))::varchar
+             AS row_json
+    FROM risk GROUP BY risk_level""", "risk"))
+def q_adhoc_sql(spark, d):
+    from wardline.operators.adhoc import adhoc_sql
+    risk(spark, d).createOrReplaceTempView("risk_levels")
+    return adhoc_sql(spark, "SELECT risk_level, count(*) AS stays, round(avg(risk_pct), 2) AS avg_pct "
+                            "FROM risk_levels GROUP BY risk_level ORDER BY risk_level")
