@@ -263,5 +263,5 @@ def readmission_model(features: DataFrame, max_iter: int = 20) -> DataFrame:
 
 def risk_fixture(spark: SparkSession, d: str) -> DataFrame:
     from wardline.sources import fixtures as fx
-    return scored_stays(readmissions(fx.stays(spark, d)), fx.patients(spark, d),
-                        fx.conditions(spark, d), fx.medications(spark, d))
+    return scored_stays(readmissions(fx.landed(spark, d, "stays")), fx.landed(spark, d, "patients"),
+                        fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))

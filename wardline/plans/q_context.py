@@ -82,7 +82,7 @@ def readings(spark, d):
 
 
 def context(spark, d):
-    return ctx.patient_context(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    return ctx.patient_context(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
 
 
 def current(spark, d):
@@ -112,12 +112,12 @@ def q_patient_summary(spark, d):
 
 @register("latest_conditions", W("SELECT * FROM lconds", "lconds"))
 def q_latest_conditions(spark, d):
-    return ctx.latest_conditions(fx.conditions(spark, d))
+    return ctx.latest_conditions(fx.landed(spark, d, "conditions"))
 
 
 @register("latest_medications", W("SELECT * FROM lmeds", "lmeds"))
 def q_latest_medications(spark, d):
-    return ctx.latest_medications(fx.medications(spark, d))
+    return ctx.latest_medications(fx.landed(spark, d, "medications"))
 
 
 @register("latest_medications_deletes", W("""
@@ -133,7 +133,7 @@ def q_latest_medications(spark, d):
           FROM medications WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, medication_name) g
     WHERE g._op <> 'd'""", "medications"))
 def q_latest_medications_deletes(spark, d):
-    return ctx.latest_medications(fx.medications(spark, d), apply_deletes=True)
+    return ctx.latest_medications(fx.landed(spark, d, "medications"), apply_deletes=True)
 
 
 @register("patient_context", W("SELECT * FROM context", "context"))
@@ -144,7 +144,7 @@ def q_patient_context(spark, d):
 
 @register("patient_context_doc")
 def q_patient_context_doc(spark, d):
-    doc = ctx.context_document(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    doc = ctx.context_document(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
     return doc.select("patient_id", "patient_age", "patient_gender",
                       *[F.to_json(c).alias(c) for c in ("vitals", "vitals_history", "conditions", "medications")])
 
@@ -166,7 +166,7 @@ def q_context_live(spark, d):
     SELECT patient_id FROM readings UNION SELECT patient_id FROM conditions
     UNION SELECT patient_id FROM medications""", "readings", "conditions", "medications"))
 def q_all_patients(spark, d):
-    return ctx.all_patients(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    return ctx.all_patients(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
 
 
 @register("total_patients", W("""
@@ -174,5 +174,5 @@ def q_all_patients(spark, d):
       SELECT patient_id FROM readings UNION ALL SELECT patient_id FROM conditions
       UNION ALL SELECT patient_id FROM medications)""", "readings", "conditions", "medications"))
 def q_total_patients(spark, d):
-    ids = ctx.all_patients(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    ids = ctx.all_patients(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
     return ids.agg(F.count(F.lit(1)).alias("total_patients"))

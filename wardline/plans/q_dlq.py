@@ -40,16 +40,16 @@ add_fixture("src_status", ["observations"], f"""
 
 
 def dlq(spark, d):
-    _, rejected = ingest.validate_vitals(fx.observations(spark, d), ingest.patients_dim(fx.patients(spark, d)))
+    _, rejected = ingest.validate_vitals(fx.landed(spark, d, "observations"), ingest.patients_dim(fx.landed(spark, d, "patients")))
     return ingest.dlq_records(rejected)
 
 
 def components(spark, d):
-    return hl.component_health(fx.status_events(spark, d))
+    return hl.component_health(fx.landed(spark, d, "status_events"))
 
 
 def src_status(spark, d):
-    return hl.source_status(spark, hl.source_health(fx.observations(spark, d)), AS_OF)
+    return hl.source_status(spark, hl.source_health(fx.landed(spark, d, "observations")), AS_OF)
 
 
 _CAT = "CASE WHEN strpos(coalesce(error_reason, 'unknown'), ':') > 0 THEN split_part(error_reason, ':', 1) " \
@@ -204,4 +204,4 @@ def _replay_sql() -> str:
 
 @register("dlq_replay", W(_replay_sql(), "dlq", "patients"))
 def q_dlq_replay(spark, d):
-    return dq.replay(dlq(spark, d), ingest.patients_dim(fx.patients(spark, d)))
+    return dq.replay(dlq(spark, d), ingest.patients_dim(fx.landed(spark, d, "patients")))

@@ -21,14 +21,14 @@ add_fixture("pstats", ["readings", "conditions", "medications", "dlq"], """
 
 
 def pstats(spark, d):
-    return hl.processing_stats(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d), dlq(spark, d))
+    return hl.processing_stats(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"), dlq(spark, d))
 
 
 @register("source_health", W("""
     SELECT source_system, count(*) AS count, max(ingest_ts) AS last_seen FROM observations GROUP BY 1""",
                              "observations"))
 def q_source_health(spark, d):
-    return hl.source_health(fx.observations(spark, d))
+    return hl.source_health(fx.landed(spark, d, "observations"))
 
 
 @register("source_status", W("SELECT * FROM src_status", "src_status"))
@@ -77,7 +77,7 @@ def q_system_status(spark, d):
            (SELECT count_if(status <> 'healthy') FROM src_status) AS sources_alerting
     FROM components""", "components", "pstats", "src_status", "readings", "conditions", "medications"))
 def q_system_health(spark, d):
-    ids = ctx.all_patients(readings(spark, d), fx.conditions(spark, d), fx.medications(spark, d))
+    ids = ctx.all_patients(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
     total = ids.agg(F.count(F.lit(1))).scalar()
     return hl.system_health(components(spark, d), pstats(spark, d), src_status(spark, d), total)
 
@@ -88,4 +88,4 @@ def q_system_health(spark, d):
            (SELECT count(DISTINCT subject) FROM schema_versions) AS total_subjects
     FROM schema_versions GROUP BY subject""", "schema_versions"))
 def q_schema_versions(spark, d):
-    return hl.schema_versions(fx.schema_versions(spark, d))
+    return hl.schema_versions(fx.landed(spark, d, "schema_versions"))

@@ -13,27 +13,27 @@ _VITAL_IN = "('8867-4','8480-6','8462-4','2708-6','9279-1','8310-5')"
 
 
 def enriched(spark, d):
-    return ingest.process_vitals(fx.observations(spark, d), fx.patients(spark, d))
+    return ingest.process_vitals(fx.landed(spark, d, "observations"), fx.landed(spark, d, "patients"))
 
 
 def classified(spark, d):
-    return ingest.classify_observations(fx.observations(spark, d), ingest.patients_dim(fx.patients(spark, d)))
+    return ingest.classify_observations(fx.landed(spark, d, "observations"), ingest.patients_dim(fx.landed(spark, d, "patients")))
 
 
 @register("patients_dim", W("SELECT Id, BIRTHDATE, GENDER, MARITAL FROM patients", "patients"))
 def q_patients_dim(spark, d):
-    return ingest.patients_dim(fx.patients(spark, d))
+    return ingest.patients_dim(fx.landed(spark, d, "patients"))
 
 
 @register("observations_scan", W("SELECT * FROM observations", "observations"))
 def q_observations_scan(spark, d):
-    return fx.observations(spark, d)
+    return fx.landed(spark, d, "observations")
 
 
 @register("vitals_only", W(f"SELECT rec_offset, PATIENT, CODE, VALUE FROM observations WHERE CODE IN {_VITAL_IN}",
                            "observations"))
 def q_vitals_only(spark, d):
-    return ingest.vitals_only(fx.observations(spark, d)).select("rec_offset", "PATIENT", "CODE", "VALUE")
+    return ingest.vitals_only(fx.landed(spark, d, "observations")).select("rec_offset", "PATIENT", "CODE", "VALUE")
 
 
 @register("validate_vitals", W("""
@@ -56,7 +56,7 @@ def q_enriched_vitals(spark, d):
     WHERE CODE IN {_VITAL_IN} AND NOT EXISTS (SELECT 1 FROM patients p WHERE p.Id = o.PATIENT)""",
                                 "observations", "patients"))
 def q_unknown_patients(spark, d):
-    return ingest.unknown_patients(fx.observations(spark, d), fx.patients(spark, d)) \
+    return ingest.unknown_patients(fx.landed(spark, d, "observations"), fx.landed(spark, d, "patients")) \
         .select("rec_offset", "PATIENT", "CODE")
 
 
@@ -67,7 +67,7 @@ def q_unknown_patients(spark, d):
            error_reason, source_system, ingest_ts AS failed_at, 'patient-vitals' AS topic_intended
     FROM rejected""", "rejected"))
 def q_dlq_records(spark, d):
-    _, rejected = ingest.validate_vitals(fx.observations(spark, d), ingest.patients_dim(fx.patients(spark, d)))
+    _, rejected = ingest.validate_vitals(fx.landed(spark, d, "observations"), ingest.patients_dim(fx.landed(spark, d, "patients")))
     return ingest.dlq_records(rejected)
 
 
@@ -115,4 +115,4 @@ def q_ingest_stats(spark, d):
            CASE WHEN coalesce(PATIENT, 'unknown') IN ('', 'unknown') THEN 'dlq' ELSE 'topic' END AS route
     FROM observations""", "observations"))
 def q_ingest_keyed(spark, d):
-    return ingest.ingest_keyed(fx.observations(spark, d), "PATIENT").select("rec_offset", "key", "route")
+    return ingest.ingest_keyed(fx.landed(spark, d, "observations"), "PATIENT").select("rec_offset", "key", "route")

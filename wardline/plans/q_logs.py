@@ -24,7 +24,7 @@ add_fixture("routed_log", ["topic_log"], "SELECT * REPLACE (CASE topic " + " ".j
 
 
 def routed_log(spark, d):
-    log = fx.topic_log(spark, d)
+    log = fx.landed(spark, d, "topic_log")
     t = None
     for a, b in EVENT_TOPICS:
         t = F.when(F.col("topic") == a, b) if t is None else t.when(F.col("topic") == a, b)
@@ -36,7 +36,7 @@ def routed_log(spark, d):
     FROM (SELECT topic, "partition", max("offset") + 1 AS end_offset FROM topic_log GROUP BY ALL) GROUP BY topic""",
                            "topic_log"))
 def q_topic_sizes(spark, d):
-    return logs.topic_sizes(fx.topic_log(spark, d))
+    return logs.topic_sizes(fx.landed(spark, d, "topic_log"))
 
 
 @register("compact_log", W(f"""
@@ -47,7 +47,7 @@ def q_topic_sizes(spark, d):
                    FROM topic_log WHERE ts < TIMESTAMP '{AS_OF}' - INTERVAL 3600 SECOND GROUP BY ALL)
     WHERE "value" IS NOT NULL""", "topic_log"))
 def q_compact_log(spark, d):
-    return logs.compact_log(fx.topic_log(spark, d), AS_OF)
+    return logs.compact_log(fx.landed(spark, d, "topic_log"), AS_OF)
 
 
 @register("retain", W(f"""
@@ -63,7 +63,7 @@ def q_retain(spark, d):
 @register("dedup_events", W("""
     SELECT source_system, rec_offset, PATIENT, CODE, VALUE FROM observations""", "observations"))
 def q_dedup_events(spark, d):
-    obs = fx.observations(spark, d).select("source_system", "rec_offset", "PATIENT", "CODE", "VALUE")
+    obs = fx.landed(spark, d, "observations").select("source_system", "rec_offset", "PATIENT", "CODE", "VALUE")
     # producer retries re-send some records; the operator removes them again
     resent = obs.where(F.col("rec_offset") % 50 == 0)
     return logs.dedup_events(obs.unionByName(resent), ["source_system", "rec_offset"])
@@ -85,7 +85,7 @@ def q_dedup_events(spark, d):
                 THEN TIMESTAMP '2001-11-05 00:00:00' ELSE u.updated_at END AS updated_at
     FROM upd u""", "medications"))
 def q_upsert_touch(spark, d):
-    m = fx.medications(spark, d)
+    m = fx.landed(spark, d, "medications")
 
     def state(op, ts):
         s = ctx.upsert_list(m.where(F.col("op") == op), "medication_name", ["dosage", "status"])

@@ -66,7 +66,7 @@ add_fixture("risk_msgs", ["top_stay"], f"""
 
 
 def readm(spark, d):
-    return rm.readmissions(fx.stays(spark, d))
+    return rm.readmissions(fx.landed(spark, d, "stays"))
 
 
 def risk(spark, d):
@@ -94,8 +94,8 @@ def q_readmissions(spark, d):
       ON p.Id = r.patient_id
     JOIN asof_counts a ON a.encounter_id = r.encounter_id""", "readm", "patients", "asof_counts"))
 def q_training_features(spark, d):
-    return rm.training_features(readm(spark, d), fx.patients(spark, d), fx.conditions(spark, d),
-                                fx.medications(spark, d))
+    return rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"),
+                                fx.landed(spark, d, "medications"))
 
 
 @register("risk_levels", W("SELECT * FROM risk", "risk"))
@@ -216,7 +216,7 @@ def q_risk_explain(spark, d):
     JOIN (SELECT DISTINCT patient_id FROM readm WHERE readmitted_30d = 1) r USING (patient_id)
     GROUP BY condition_name""", "readm", "conditions"))
 def q_drivers_by_condition(spark, d):
-    return rm.drivers_by_condition(readm(spark, d), fx.conditions(spark, d))
+    return rm.drivers_by_condition(readm(spark, d), fx.landed(spark, d, "conditions"))
 
 
 @register("risk_by_age_group", W("""
@@ -240,8 +240,8 @@ def q_top10_risk(spark, d):
 
 @register("readmission_model")
 def q_readmission_model(spark, d):
-    feats = rm.training_features(readm(spark, d), fx.patients(spark, d), fx.conditions(spark, d),
-                                 fx.medications(spark, d))
+    feats = rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"),
+                                 fx.landed(spark, d, "medications"))
     return rm.readmission_model(feats)
 
 

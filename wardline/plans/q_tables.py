@@ -24,7 +24,7 @@ def _json_lists(df, *cols):
            count(*) AS condition_count, max(updated_at) AS last_updated
     FROM conditions GROUP BY patient_id""", "conditions"))
 def q_conditions_latest(spark, d):
-    return _json_lists(tables.conditions_latest(fx.conditions(spark, d)), "conditions", "severities")
+    return _json_lists(tables.conditions_latest(fx.landed(spark, d, "conditions")), "conditions", "severities")
 
 
 @register("medications_latest", W("""
@@ -33,7 +33,7 @@ def q_conditions_latest(spark, d):
            count(*) AS medication_count, max(updated_at) AS last_updated
     FROM medications GROUP BY patient_id""", "medications"))
 def q_medications_latest(spark, d):
-    return _json_lists(tables.medications_latest(fx.medications(spark, d)), "medications", "dosages")
+    return _json_lists(tables.medications_latest(fx.landed(spark, d, "medications")), "medications", "dosages")
 
 
 @register("vitals_hourly_stats", W("""
@@ -51,7 +51,7 @@ def q_vitals_hourly_stats(spark, d):
     SELECT source_system, epoch_ms(date_trunc('minute', ingest_ts)) AS window_start, count(*) AS message_count
     FROM observations GROUP BY ALL""", "observations"))
 def q_source_throughput(spark, d):
-    return tables.window_count(fx.observations(spark, d))
+    return tables.window_count(fx.landed(spark, d, "observations"))
 
 
 @register("integration_health", W("""
@@ -76,7 +76,7 @@ def q_vitals_stream(spark, d):
 def q_conditions_stream(spark, d):
     # fields the source does not carry are typed nulls in the declared
     # stream; the check compares the populated ones
-    s = stream.declare_stream(fx.conditions(spark, d), stream.CONDITIONS_STREAM)
+    s = stream.declare_stream(fx.landed(spark, d, "conditions"), stream.CONDITIONS_STREAM)
     return s.drop("id", "diagnosed_date", "notes", "created_at")
 
 
@@ -85,7 +85,7 @@ def q_conditions_stream(spark, d):
            cast(updated_at as varchar) AS updated_at, rec_offset
     FROM medications""", "medications"))
 def q_medications_stream(spark, d):
-    s = stream.declare_stream(fx.medications(spark, d), stream.MEDICATIONS_STREAM)
+    s = stream.declare_stream(fx.landed(spark, d, "medications"), stream.MEDICATIONS_STREAM)
     return s.drop("id", "prescriber", "start_date", "end_date", "notes", "created_at")
 
 
@@ -97,7 +97,7 @@ _MED_FIELDS = ["patient_id", "medication_name", "dosage", "frequency", "route",
            epoch_ms(updated_at) AS __source_ts_ms, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS __deleted
     FROM medications""", "medications"))
 def q_cdc_unwrap(spark, d):
-    env = stream.change_envelope(fx.medications(spark, d), "op", "updated_at", _MED_FIELDS)
+    env = stream.change_envelope(fx.landed(spark, d, "medications"), "op", "updated_at", _MED_FIELDS)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in _MED_FIELDS])
     return stream.cdc_unwrap(env, schema)
 
@@ -105,12 +105,12 @@ def q_cdc_unwrap(spark, d):
 @register("incremental_poll", W("""
     SELECT * FROM conditions WHERE updated_at > TIMESTAMP '2000-01-01 00:00:00'""", "conditions"))
 def q_incremental_poll(spark, d):
-    return stream.incremental_poll(fx.conditions(spark, d), "updated_at", "2000-01-01 00:00:00")
+    return stream.incremental_poll(fx.landed(spark, d, "conditions"), "updated_at", "2000-01-01 00:00:00")
 
 
 @register("topic_route", W("""
     SELECT rec_offset, 'patient-conditions' AS topic, patient_id AS "key" FROM conditions""", "conditions"))
 def q_topic_route(spark, d):
-    c = fx.conditions(spark, d).withColumn("topic", F.lit("patient_conditions"))
+    c = fx.landed(spark, d, "conditions").withColumn("topic", F.lit("patient_conditions"))
     c = stream.value_to_key(stream.topic_route(c, "topic", "patient_conditions", "patient-conditions"), "patient_id")
     return c.select("rec_offset", "topic", "key")

@@ -21,6 +21,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # stages whose generated method would exceed what the JIT compiles fall
+    # back to per-operator code instead of running interpreted bytecode
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -46,17 +49,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting must point at shared storage and is only read
     here.  Only when it is unset (local tests) a scratch folder is created and
-    registered, so that ``DataFrame.checkpoint()`` and streaming checkpoints
-    have a home.
+    registered, so that ``DataFrame.checkpoint()``, streaming checkpoints and
+    landed tables have a home.  The RDD checkpoint folder is registered once.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="wardline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
