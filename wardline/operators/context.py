@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import rules
+from wardline.operators.sequence import MAX_KEY_ROWS, hot_key_rows, sequence_ops
 
 KEY = "patient_id"
 
@@ -178,13 +179,19 @@ def context_episodes(readings: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_S
                      time_col: str = "ingest_ts") -> DataFrame:
     """TTL episodes: a gap of more than ``ttl_seconds`` without any update
     expires the document, and the next message starts a fresh one.  The gap
-    test is a ``lag`` over the patient's updates in time order; the episode
-    number is the running count of expiries."""
-    w = Window.partitionBy(KEY).orderBy(time_col, "rec_offset")
-    gap = F.unix_micros(F.col(time_col)) - F.unix_micros(F.lag(time_col).over(w))
-    flagged = readings.select(KEY, time_col, "rec_offset").withColumn(
-        "_new", F.when(gap.isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0))
-    ep = flagged.withColumn("episode", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    test is a lag over the patient's updates in time order and the episode
+    number the running count of expiries -- both evaluated with the
+    range-partitioned sequence primitive, so a very active patient is spread
+    over many tasks."""
+    order = [time_col, "rec_offset"]
+    base = readings.select(KEY, time_col, "rec_offset")
+    hot, total = hot_key_rows(base, KEY)
+    n = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strategy = "range" if hot > max(MAX_KEY_ROWS, 2 * total / n) else "window"
+    lagged = sequence_ops(base, KEY, order, lags={"_prev": time_col}, strategy=strategy)
+    gap = F.unix_micros(F.col(time_col)) - F.unix_micros(F.col("_prev"))
+    flagged = lagged.withColumn("_new", F.when(gap.isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0))
+    ep = sequence_ops(flagged.drop("_prev"), KEY, order, running_sums={"episode": "_new"}, strategy=strategy)
     return ep.groupBy(KEY, "episode").agg(
         F.min(time_col).alias("started_at"), F.max(time_col).alias("last_update"),
         F.count(F.lit(1)).alias("updates"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline import rules
 from wardline.functions.scalar import age_years, parse_birthdate
+from wardline.operators.sequence import sequence_ops
 
 KEY = "patient_id"
 # --- fixed values (ours; the reference ships none): risk bands and ages ---
@@ -26,15 +27,19 @@ AVOIDABLE_SHARE = 0.25
 def readmissions(stays: DataFrame, days: int = 30) -> DataFrame:
     """Adds next admission gap and the readmitted flag (next admit 0..days
     days after discharge, both ends included; overlaps and last stays = 0),
-    the prior admission count and the length of stay."""
-    w = Window.partitionBy(KEY).orderBy("admit_time", "encounter_id")
-    nxt = F.lead("admit_time").over(w)
-    gap = F.datediff(nxt, F.col("discharge_time"))
-    return stays.select(
-        "*",
+    the prior admission count and the length of stay.
+
+    The per-patient order (admit time, encounter) is evaluated with the
+    range-partitioned sequence primitive, so a patient with a very large
+    number of stays is spread over many tasks."""
+    seq = sequence_ops(stays, KEY, ["admit_time", "encounter_id"], row_number="_rn",
+                       leads={"_next_admit": "admit_time"})
+    gap = F.datediff(F.col("_next_admit"), F.col("discharge_time"))
+    return seq.select(
+        *stays.columns,
         gap.alias("days_to_next_admit"),
         F.when(gap.between(0, days), 1).otherwise(0).alias("readmitted_30d"),
-        (F.row_number().over(w) - 1).alias("prior_admission_count"),
+        (F.col("_rn") - 1).cast("int").alias("prior_admission_count"),
         F.datediff(F.col("discharge_time"), F.col("admit_time")).alias("length_of_stay_days"),
     )
 
@@ -51,8 +56,7 @@ def as_of_distinct_count(stays: DataFrame, log: DataFrame, name_col: str, ts_col
         KEY, "_t", F.lit(0).alias("_kind"), F.lit(1).alias("_inc"), F.lit(None).cast("long").alias("encounter_id"))
     st = stays.select(KEY, F.col("admit_time").alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_inc"),
                       "encounter_id")
-    w = Window.partitionBy(KEY).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    u = first.unionByName(st).withColumn(out, F.sum("_inc").over(w))
+    u = sequence_ops(first.unionByName(st), KEY, ["_t", "_kind", "encounter_id"], running_sums={out: "_inc"})
     return u.where(F.col("_kind") == 1).select("encounter_id", F.col(out).cast("long").alias(out))
 
 
