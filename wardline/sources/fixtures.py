@@ -13,7 +13,7 @@ import inspect
 import os
 import threading
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import rules
@@ -97,9 +97,10 @@ def _order_lines(spark: SparkSession, d: str, parity: int) -> DataFrame:
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey")
     p = read_table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    # rec_offset stands for the topic offset: arrival order within the patient.
-    w = Window.partitionBy("o_custkey").orderBy(*_LINE_ORDER)
-    return j.withColumn("rec_offset", F.row_number().over(w).cast("long"))
+    # rec_offset stands for the topic offset: arrival order within the patient
+    # (balanced even when one customer holds most lines, see sequence_ops)
+    from wardline.operators.sequence import sequence_ops
+    return sequence_ops(j, "o_custkey", _LINE_ORDER, row_number="rec_offset")
 
 
 def conditions(spark: SparkSession, d: str) -> DataFrame:
@@ -161,12 +162,16 @@ def status_events(spark: SparkSession, d: str) -> DataFrame:
 
 def topic_log(spark: SparkSession, d: str) -> DataFrame:
     """A keyed, partitioned message log: one topic per event type."""
-    e = read_table(spark, d, "events")
-    w = Window.partitionBy("event_type", F.col("user_id") % 6).orderBy("event_id")
+    from wardline.operators.sequence import sequence_ops
+    e = read_table(spark, d, "events").withColumn(
+        "_tp", F.concat_ws("|", "event_type", (F.col("user_id") % 6).cast("string")))
+    # a topic partition is a very large group: the offsets are numbered with
+    # the range-partitioned sequence primitive, not a one-task window
+    e = sequence_ops(e, "_tp", ["event_id"], row_number="_rn")
     return e.select(
         F.col("event_type").alias("topic"),
         (F.col("user_id") % 6).cast("int").alias("partition"),
-        (F.row_number().over(w) - 1).cast("long").alias("offset"),
+        (F.col("_rn") - 1).cast("long").alias("offset"),
         patient_key(F.col("user_id")).alias("key"),
         F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("string")).otherwise(F.col("props")).alias("value"),
         F.col("ts").cast("timestamp").alias("ts"),
