@@ -81,14 +81,31 @@ def readings(spark, d):
     return ctx.vital_readings(enriched(spark, d))
 
 
-def context(spark, d):
+def context_compute(spark, d):
     return ctx.patient_context(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
 
 
-def current(spark, d):
+def current_compute(spark, d):
     return ctx.current_vitals(readings(spark, d))
 
 
+def _ctx_code():
+    from wardline.operators import context as c, ingest, sequence
+    from wardline.functions import scalar
+    return [c, ingest, sequence, scalar, fx]
+
+
+def context(spark, d):
+    """The stored per-patient context table (what the streaming fold keeps),
+    built by ``patient_context`` once."""
+    return fx.land(spark, d, "context", lambda: context_compute(spark, d), _ctx_code())
+
+
+def current(spark, d):
+    """Stored current vitals with trends (latest + trend per patient x vital)."""
+    return fx.land(spark, d, "current", lambda: current_compute(spark, d), _ctx_code())
+
+
 @register("latest_vitals", W("SELECT * FROM latest", "latest"))
 def q_latest_vitals(spark, d):
     return ctx.latest_vitals(readings(spark, d))
@@ -106,7 +123,7 @@ def q_vital_trends(spark, d):
 
 @register("patient_summary", W("SELECT * FROM current", "current"))
 def q_patient_summary(spark, d):
-    return current(spark, d).select("patient_id", "vital", "value", "units", "timestamp", "has_trend",
+    return current_compute(spark, d).select("patient_id", "vital", "value", "units", "timestamp", "has_trend",
                                     "direction", "pct_change")
 
 
@@ -138,7 +155,7 @@ def q_latest_medications_deletes(spark, d):
 
 @register("patient_context", W("SELECT * FROM context", "context"))
 def q_patient_context(spark, d):
-    c = context(spark, d)
+    c = context_compute(spark, d)
     return c.withColumn("conditions", F.to_json("conditions")).withColumn("medications", F.to_json("medications"))
 
 

@@ -65,14 +65,30 @@ add_fixture("risk_msgs", ["top_stay"], f"""
     FROM top_stay""")
 
 
-def readm(spark, d):
+def readm_compute(spark, d):
     return rm.readmissions(fx.landed(spark, d, "stays"))
 
 
-def risk(spark, d):
+def risk_compute(spark, d):
     return rm.risk_fixture(spark, d)
 
 
+def _mart_code():
+    from wardline.operators import readmit, sequence
+    from wardline.functions import scalar
+    return [readmit, sequence, scalar, fx]
+
+
+def readm(spark, d):
+    """The readmissions mart table (built by ``readmissions``, stored once)."""
+    return fx.land(spark, d, "readmissions", lambda: readm_compute(spark, d), _mart_code())
+
+
+def risk(spark, d):
+    """The scored-stays table (model output stand-in), stored once."""
+    return fx.land(spark, d, "risk", lambda: risk_compute(spark, d), _mart_code())
+
+
 def risk_latest(spark, d):
     msgs = rm.risk_messages(rm.top_risk_stay(risk(spark, d)))
     return rm.risk_store(stream.decode_json(msgs, stream.RISK_MESSAGE), AS_OF)
@@ -82,7 +98,7 @@ def risk_latest(spark, d):
     SELECT * REPLACE (cast(days_to_next_admit as double) AS days_to_next_admit) FROM readm""", "readm"))
 def q_readmissions(spark, d):
     # the nullable day gap is compared as double (null for a last stay)
-    return readm(spark, d).withColumn("days_to_next_admit", F.col("days_to_next_admit").cast("double"))
+    return readm_compute(spark, d).withColumn("days_to_next_admit", F.col("days_to_next_admit").cast("double"))
 
 
 @register("training_features", W(f"""
@@ -94,13 +110,13 @@ def q_readmissions(spark, d):
       ON p.Id = r.patient_id
     JOIN asof_counts a ON a.encounter_id = r.encounter_id""", "readm", "patients", "asof_counts"))
 def q_training_features(spark, d):
-    return rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"),
+    return rm.training_features(readm_compute(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"),
                                 fx.landed(spark, d, "medications"))
 
 
 @register("risk_levels", W("SELECT * FROM risk", "risk"))
 def q_risk_levels(spark, d):
-    return risk(spark, d)
+    return risk_compute(spark, d)
 
 
 @register("top_risk_stay", W("SELECT * FROM top_stay", "top_stay"))

@@ -202,7 +202,7 @@ def vitals_rules(spark: SparkSession) -> DataFrame:
 # column pruning) instead of re-deriving them from the driver tables in every
 # plan.  The folder name carries a hash of the defining code and of the input
 # location, so a changed definition or input lands a new table.
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 
 
 def _fingerprint(fn, d: str) -> str:
@@ -214,12 +214,20 @@ def _fingerprint(fn, d: str) -> str:
 
 
 def landed(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return land(spark, d, name, lambda: globals()[name](spark, d), [globals()[name]])
+
+
+def land(spark: SparkSession, d: str, name: str, build, code: list) -> DataFrame:
+    """Write ``build()`` once as a parquet table under the checkpoint folder
+    and read it back; the folder name hashes ``code`` (functions / modules
+    that define the table) and the input location."""
     from wardline.session import scratch_path
-    fn = globals()[name]
-    path = scratch_path(spark, f"landed/{name}-{_fingerprint(fn, d)}")
+    src = "".join(inspect.getsource(c) for c in code)
+    path = scratch_path(spark, f"landed/{name}-{_fingerprint(lambda: None, d)}-"
+                               f"{hashlib.sha1(src.encode()).hexdigest()[:10]}")
     with _LOCK:
         try:
             return spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - not landed yet
-            fn(spark, d).write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").parquet(path)
             return spark.read.parquet(path)
