@@ -39,11 +39,19 @@ add_fixture("src_status", ["observations"], f"""
       USING (source_system)""")
 
 
-def dlq(spark, d):
-    _, rejected = ingest.validate_vitals(fx.landed(spark, d, "observations"), ingest.patients_dim(fx.landed(spark, d, "patients")))
+def dlq_compute(spark, d):
+    _, rejected = ingest.validate_vitals(fx.landed(spark, d, "observations"),
+                                         ingest.patients_dim(fx.landed(spark, d, "patients")))
     return ingest.dlq_records(rejected)
 
 
+def dlq(spark, d):
+    """The stored dead-letter log (what the DLQ topic holds), built once by
+    ``dlq_records``; the analytics read it like the reference reads the topic."""
+    from wardline.functions import scalar
+    return fx.land(spark, d, "dlq", lambda: dlq_compute(spark, d), [ingest, scalar, fx])
+
+
 def components(spark, d):
     return hl.component_health(fx.landed(spark, d, "status_events"))
 
