@@ -18,7 +18,13 @@ def register(key: str, sql: str | None = None):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from wardline.session import configure
+            return fn(configure(spark), sf_dir)
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
         return fn

@@ -44,6 +44,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings wardline relies on to a session built
+    elsewhere (UTC session zone, AQE with skew handling, codegen fallback)."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql."):
+            try:
+                if spark.conf.get(k, None) != v:
+                    spark.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static conf in this deployment
+                pass
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
