@@ -10,7 +10,8 @@ from wardline.operators import context as ctx
 from wardline.operators import ingest, tables
 from wardline.sources import fixtures as fx
 from wardline.sources.stream import stream_source
-from wardline.streaming import VersionedTable, start_append, start_context, start_ingest, start_update_table
+from wardline.streaming import (VersionedTable, compact_state, context_state, fold_context_batch, start_append,
+                                start_context, start_ingest, start_update_table)
 
 
 def _write_in_order(df, path, parts=4):
@@ -88,7 +89,7 @@ def test_context_fold_equals_batch(spark, tmp_dir):
     src = stream_source(spark, "parquet", vit.schema, path=path, maxFilesPerTrigger=1)
     state = os.path.join(tmp_dir, "state")
     start_context(src, state, os.path.join(tmp_dir, "ck4")).awaitTermination()
-    hist = VersionedTable(spark, f"{state}/history").read()
+    hist = context_state(spark, state)["history"]
     exp = ctx.vitals_history(ctx.vital_readings(vit))
     assert hist.count() == exp.count()
     assert hist.select("patient_id", "vital", "rec_offset").exceptAll(
@@ -105,3 +106,26 @@ def test_versioned_table_replay_is_idempotent(spark, tmp_dir):
     t.write(spark.range(3), 1)  # replayed batch overwrites its own version
     assert t.read().count() == 3 and t.read(before=1).count() == 5
     assert t.read().agg(F.sum("id")).first()[0] == 3
+
+
+def test_list_fold_touches_only_batch_keys(spark, tmp_dir):
+    """Condition log folded in three batches equals the batch upsert; each
+    version holds only the patients of its batch; compaction keeps the state."""
+    cond = fx.conditions(spark, SF_SMALL)
+    state = os.path.join(tmp_dir, "lstate")
+    empty = spark.createDataFrame([], "patient_id string, vital string, rec_offset long, value double, "
+                                      "timestamp string, units string, patient_age int, patient_gender string")
+    parts = [cond.where(F.col("rec_offset") <= 3), cond.where(F.col("rec_offset").between(4, 6)),
+             cond.where(F.col("rec_offset") > 6)]
+    for i, p in enumerate(parts):
+        fold_context_batch(spark, empty, p, None, state, i)
+    got = context_state(spark, state)["conditions"]
+    exp = ctx.latest_conditions(cond)
+    cols = sorted(exp.columns)
+    assert got.select(cols).exceptAll(exp.select(cols)).count() == 0
+    assert exp.select(cols).exceptAll(got.select(cols)).count() == 0
+    v1 = spark.read.parquet(f"{state}/conditions").where("v = 1").select("patient_id").distinct().count()
+    assert v1 == parts[1].select("patient_id").distinct().count()
+    compact_state(spark, state, 3)
+    got2 = context_state(spark, state)["conditions"]
+    assert got2.select(cols).exceptAll(exp.select(cols)).count() == 0

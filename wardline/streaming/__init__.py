@@ -1,3 +1,3 @@
 from wardline.streaming.runners import (  # noqa: F401
-    VersionedTable, fold_context_batch, start_append, start_context, start_ingest, start_update_table,
+    VersionedTable, compact_state, context_state, fold_context_batch, start_append, start_context, start_ingest, start_update_table,
 )

@@ -48,6 +48,13 @@ class VersionedTable:
             d = d.where(F.col("v") < before)
         return d.agg(F.max("v")).first()[0]  # answered from partition values
 
+    def read_all(self, before: int | None = None) -> DataFrame | None:
+        """Rows of every committed version (older than ``before``)."""
+        if self.latest_version(before) is None:
+            return None
+        d = self.spark.read.parquet(self.path)
+        return (d if before is None else d.where(F.col("v") < before)).drop("v")
+
     def read(self, before: int | None = None) -> DataFrame | None:
         v = self.latest_version(before)
         if v is None:
@@ -97,45 +104,81 @@ def start_update_table(agg: DataFrame, keys: list[str], path: str, checkpoint: s
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _merge_history(rows: DataFrame, n: int) -> DataFrame:
+    # readings are immutable: de-duplicate (replays, versions) and keep the newest n
+    rows = rows.dropDuplicates(["patient_id", "vital", "rec_offset"])
+    keep = ctx.vitals_history(rows, n).select("patient_id", "vital", "rec_offset")
+    return rows.join(keep, ["patient_id", "vital", "rec_offset"])
+
+
+def _merge_entries(rows: DataFrame, entry: list[str]) -> DataFrame:
+    # list entries are partial aggregates: newest entry by last offset, first offset = min
+    g = rows.groupBy("patient_id", "name").agg(
+        F.max_by(F.struct(*entry), F.col("last_offset")).alias("_e"),
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"))
+    return g.select("patient_id", "name", *[F.col(f"_e.{c}").alias(c) for c in entry], "first_offset", "last_offset")
+
+
+_HIST_COLS = ["patient_id", "vital", "rec_offset", "value", "timestamp", "units", "patient_age", "patient_gender"]
+_ENTRIES = {"conditions": ("condition_name", ["condition_code", "status", "severity"]),
+            "medications": ("medication_name", ["dosage", "frequency", "route", "status"])}
+
+
 def fold_context_batch(spark: SparkSession, readings: DataFrame, conditions: DataFrame | None,
                        medications: DataFrame | None, state_dir: str, batch_id: int,
                        n: int = rules.HISTORY_LEN) -> None:
     """One micro-batch of the context fold.
 
-    State tables: ``history`` (newest n readings per patient x vital) and
-    ``conditions`` / ``medications`` list entries (entry, first/last offset).
-    New history = newest n of (stored history + batch readings); new entries
-    = partial-aggregate merge of stored entries and the batch's own fold.
+    State tables (one version per batch): ``history`` (newest n readings per
+    patient x vital) and ``conditions`` / ``medications`` list entries.  Only
+    the patients touched by the batch are read back (semi join) and written:
+    their stored rows from earlier versions are merged with the batch's own
+    fold, and the merged state of just those patients becomes version
+    ``batch_id``.  Both merges are associative and idempotent, so readers
+    merge across versions (``context_state``) and a replayed batch rewrites
+    the same version.
     """
     hist_t = VersionedTable(spark, f"{state_dir}/history")
-    prev = hist_t.read(before=batch_id)
-    cols = ["patient_id", "vital", "rec_offset", "value", "timestamp", "units", "patient_age", "patient_gender"]
-    r = readings.select(*cols)
+    r = readings.select(*_HIST_COLS)
+    prev = hist_t.read_all(before=batch_id)
     if prev is not None:
-        r = prev.select(*cols).unionByName(r)
-    hist = ctx.vitals_history(r.withColumn("_keep", F.lit(1)), n)
-    # carry the fields the document needs with the kept readings
-    kept = r.join(hist.select("patient_id", "vital", "rec_offset"), ["patient_id", "vital", "rec_offset"])
-    hist_t.write(kept, batch_id)
-
-    for name, log, entry in (("conditions", conditions, ["condition_code", "status", "severity"]),
-                             ("medications", medications, ["dosage", "frequency", "route", "status"])):
+        touched = r.select("patient_id").distinct()
+        r = prev.select(*_HIST_COLS).join(touched, "patient_id", "left_semi").unionByName(r)
+    hist_t.write(_merge_history(r, n), batch_id)
+
+    for name, log in (("conditions", conditions), ("medications", medications)):
         if log is None:
             continue
+        name_col, entry = _ENTRIES[name]
         t = VersionedTable(spark, f"{state_dir}/{name}")
-        name_col = "condition_name" if name == "conditions" else "medication_name"
         fresh = ctx.upsert_list(log, name_col, entry)
-        old = t.read(before=batch_id)
+        old = t.read_all(before=batch_id)
         if old is not None:
-            both = old.unionByName(fresh)
-            fresh = both.groupBy("patient_id", "name").agg(
-                F.max_by(F.struct(*entry), F.col("last_offset")).alias("_e"),
-                F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset")) \
-                .select("patient_id", "name", *[F.col(f"_e.{c}").alias(c) for c in entry],
-                        "first_offset", "last_offset")
+            touched = fresh.select("patient_id").distinct()
+            fresh = _merge_entries(old.join(touched, "patient_id", "left_semi").unionByName(fresh), entry)
         t.write(fresh, batch_id)
 
 
+def context_state(spark: SparkSession, state_dir: str, n: int = rules.HISTORY_LEN) -> dict[str, DataFrame]:
+    """Current context state merged across all committed versions."""
+    out = {}
+    h = VersionedTable(spark, f"{state_dir}/history").read_all()
+    if h is not None:
+        out["history"] = _merge_history(h, n)
+    for name, (_, entry) in _ENTRIES.items():
+        e = VersionedTable(spark, f"{state_dir}/{name}").read_all()
+        if e is not None:
+            out[name] = _merge_entries(e, entry)
+    return out
+
+
+def compact_state(spark: SparkSession, state_dir: str, version: int, n: int = rules.HISTORY_LEN) -> None:
+    """Write the merged state as one version (readers then touch one
+    version; older versions can be removed by the table's housekeeping)."""
+    for name, df in context_state(spark, state_dir, n).items():
+        VersionedTable(spark, f"{state_dir}/{name}").write(df, version)
+
+
 def start_context(readings_stream: DataFrame, state_dir: str, checkpoint: str, trigger: dict | None = None):
     """Vital readings stream -> incrementally folded context state."""
     def batch(df: DataFrame, batch_id: int) -> None:
