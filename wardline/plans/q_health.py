@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wardline.operators import context as ctx
 from wardline.operators import health as hl
 from wardline.plans.fixture_sql import add_fixture, with_fixtures as W
 from wardline.plans.q_context import readings
@@ -77,9 +76,17 @@ def q_system_status(spark, d):
            (SELECT count_if(status <> 'healthy') FROM src_status) AS sources_alerting
     FROM components""", "components", "pstats", "src_status", "readings", "conditions", "medications"))
 def q_system_health(spark, d):
-    ids = ctx.all_patients(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
-    total = ids.agg(F.count(F.lit(1))).scalar()
-    return hl.system_health(components(spark, d), pstats(spark, d), src_status(spark, d), total)
+    # read model over the stored context (one row per patient seen by any
+    # source) instead of re-running the vital validation twice
+    from wardline.plans.q_context import context
+    c = context(spark, d)
+    total = c.agg(F.count(F.lit(1))).scalar()
+    stats = c.agg(F.sum("vital_readings").cast("long").alias("vitals_processed")).select(
+        "vitals_processed",
+        fx.landed(spark, d, "conditions").agg(F.count(F.lit(1))).scalar().alias("conditions_processed"),
+        fx.landed(spark, d, "medications").agg(F.count(F.lit(1))).scalar().alias("medications_processed"),
+        dlq(spark, d).agg(F.count(F.lit(1))).scalar().alias("dlq_processed"))
+    return hl.system_health(components(spark, d), stats, src_status(spark, d), total)
 
 
 @register("schema_versions", W("""
