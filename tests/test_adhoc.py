@@ -24,3 +24,12 @@ def test_adhoc_caps_and_errors(spark):
     assert "error" in err.asDict()
     err2 = adhoc_sql(spark, "SELECT nope FROM nums").first()
     assert "error" in err2.asDict()
+
+
+def test_catalog_listing(spark):
+    from wardline.operators.adhoc import describe_table, list_tables
+    spark.range(3).withColumnRenamed("id", "encounter_id").createOrReplaceTempView("stays_view")
+    names = [r.tableName for r in list_tables(spark).collect()]
+    assert "stays_view" in names
+    cols = [r.col_name for r in describe_table(spark, "stays_view").collect()]
+    assert cols == ["encounter_id"]
