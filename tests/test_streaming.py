@@ -129,3 +129,17 @@ def test_list_fold_touches_only_batch_keys(spark, tmp_dir):
     compact_state(spark, state, 3)
     got2 = context_state(spark, state)["conditions"]
     assert got2.select(cols).exceptAll(exp.select(cols)).count() == 0
+
+
+def test_list_table_update_mode_equals_batch(spark, tmp_dir):
+    cond = fx.conditions(spark, SF_SMALL)
+    path = os.path.join(tmp_dir, "cond_in")
+    _write_in_order(cond.withColumn("rec_offset", F.col("rec_offset")), path, 3)
+    src = stream_source(spark, "parquet", cond.schema, path=path, maxFilesPerTrigger=1)
+    out = os.path.join(tmp_dir, "cl")
+    start_update_table(tables.conditions_latest(src), ["patient_id"], out,
+                       os.path.join(tmp_dir, "ck5")).awaitTermination()
+    got = VersionedTable(spark, out).read()
+    exp = tables.conditions_latest(cond)
+    assert got.count() == exp.count()
+    assert got.select(exp.columns).exceptAll(exp).count() == 0
