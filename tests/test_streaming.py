@@ -143,3 +143,16 @@ def test_list_table_update_mode_equals_batch(spark, tmp_dir):
     exp = tables.conditions_latest(cond)
     assert got.count() == exp.count()
     assert got.select(exp.columns).exceptAll(exp).count() == 0
+
+
+def test_dedup_within_watermark_on_stream(spark, tmp_dir):
+    from wardline.operators.logs import dedup_events
+    obs = fx.observations(spark, SF_SMALL).select("source_system", "rec_offset", "ingest_ts", "PATIENT")
+    resent = obs.where(F.col("rec_offset") % 50 == 0)
+    path = os.path.join(tmp_dir, "dup_in")
+    _write_in_order(obs.unionByName(resent), path, 3)
+    src = stream_source(spark, "parquet", obs.schema, path=path, maxFilesPerTrigger=1)
+    out = os.path.join(tmp_dir, "dedup")
+    start_append(dedup_events(src, ["source_system", "rec_offset"], watermark="1 hour"), out,
+                 os.path.join(tmp_dir, "ck6")).awaitTermination()
+    assert spark.read.parquet(out).count() == obs.count()

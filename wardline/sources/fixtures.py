@@ -227,6 +227,9 @@ def land(spark: SparkSession, d: str, name: str, build, code: list) -> DataFrame
                                f"{hashlib.sha1(src.encode()).hexdigest()[:10]}")
     with _LOCK:
         try:
+            # only a completed write (commit marker present) counts as landed;
+            # a write cut short by a lost executor or driver is redone
+            spark.read.text(f"{path}/_SUCCESS")
             return spark.read.parquet(path)
         except Exception:  # noqa: BLE001 - not landed yet
             build().write.mode("overwrite").parquet(path)
