@@ -15,7 +15,9 @@ from wardline import rules
 def collect_per_key(log: DataFrame, key: str, cols: list[str], order_col: str, ts_col: str,
                     count_name: str, last_name: str = "last_updated",
                     list_names: list[str] | None = None) -> DataFrame:
-    """COLLECT_LIST per key in arrival order, COUNT(*), MAX(ts).
+    """COLLECT_LIST per key in arrival order, COUNT(*), MAX(ts) (array form,
+    for keys whose message count is bounded; see ``list_rows_per_key`` for
+    the long form used at scale).
 
     Every message counts, so repeats stay.  Order is made explicit by sorting
     ``(order_col, value)`` structs; ``collect_list`` is a partial aggregate, so
@@ -35,6 +37,30 @@ def _field_of(arr: str, field: str) -> Column:
     return F.transform(arr, lambda x: x.getField(field))
 
 
+def list_rows_per_key(log: DataFrame, key: str, cols: list[str], order_col: str, ts_col: str,
+                      count_name: str, last_name: str = "last_updated") -> DataFrame:
+    """The per-key list table in long form: every message row with its list
+    position (``order_col``) plus the key's COUNT(*) and MAX(ts).
+
+    Nothing is collected: the per-key figures are partial aggregates joined
+    back to the rows (AQE broadcasts the aggregate when it is small and
+    splits a hot key's partition otherwise), so a key holding a third of all
+    messages is never gathered into one task or one row.
+    """
+    agg = log.groupBy(key).agg(F.count(F.lit(1)).alias(count_name), F.max(ts_col).alias(last_name))
+    return log.select(key, order_col, *cols).join(agg, key)
+
+
+def conditions_rows(conditions: DataFrame) -> DataFrame:
+    return list_rows_per_key(conditions, "patient_id", ["condition_name", "severity"], "rec_offset", "updated_at",
+                             "condition_count")
+
+
+def medications_rows(medications: DataFrame) -> DataFrame:
+    return list_rows_per_key(medications, "patient_id", ["medication_name", "dosage"], "rec_offset", "updated_at",
+                             "medication_count")
+
+
 def conditions_latest(conditions: DataFrame) -> DataFrame:
     return collect_per_key(conditions, "patient_id", ["condition_name", "severity"], "rec_offset", "updated_at",
                            "condition_count", list_names=["conditions", "severities"])

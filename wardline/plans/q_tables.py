@@ -14,26 +14,21 @@ from wardline.sources import fixtures as fx
 from wardline.sources import stream
 
 
-def _json_lists(df, *cols):
-    return df.select(*[F.to_json(c).alias(c) if c in cols else F.col(c) for c in df.columns])
-
-
 @register("conditions_latest", W("""
-    SELECT patient_id, to_json(list(condition_name ORDER BY rec_offset))::varchar AS conditions,
-           to_json(list(severity ORDER BY rec_offset))::varchar AS severities,
-           count(*) AS condition_count, max(updated_at) AS last_updated
-    FROM conditions GROUP BY patient_id""", "conditions"))
+    SELECT c.patient_id, c.rec_offset, c.condition_name, c.severity, a.condition_count, a.last_updated
+    FROM conditions c JOIN (SELECT patient_id, count(*) AS condition_count, max(updated_at) AS last_updated
+                            FROM conditions GROUP BY patient_id) a USING (patient_id)""", "conditions"))
 def q_conditions_latest(spark, d):
-    return _json_lists(tables.conditions_latest(fx.landed(spark, d, "conditions")), "conditions", "severities")
+    # long form: list position = rec_offset (array form: tables.conditions_latest)
+    return tables.conditions_rows(fx.landed(spark, d, "conditions"))
 
 
 @register("medications_latest", W("""
-    SELECT patient_id, to_json(list(medication_name ORDER BY rec_offset))::varchar AS medications,
-           to_json(list(dosage ORDER BY rec_offset))::varchar AS dosages,
-           count(*) AS medication_count, max(updated_at) AS last_updated
-    FROM medications GROUP BY patient_id""", "medications"))
+    SELECT m.patient_id, m.rec_offset, m.medication_name, m.dosage, a.medication_count, a.last_updated
+    FROM medications m JOIN (SELECT patient_id, count(*) AS medication_count, max(updated_at) AS last_updated
+                             FROM medications GROUP BY patient_id) a USING (patient_id)""", "medications"))
 def q_medications_latest(spark, d):
-    return _json_lists(tables.medications_latest(fx.landed(spark, d, "medications")), "medications", "dosages")
+    return tables.medications_rows(fx.landed(spark, d, "medications"))
 
 
 @register("vitals_hourly_stats", W("""
