@@ -63,7 +63,7 @@ t AS (SELECT *, replace(replace(replace(text, '\\', '\\a'), '###', '\\b'), '</tu
       lead(role) OVER w IS NULL AND role NOT IN ('assistant', 'user') AS ends FROM c
       WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
 SELECT conv_id, coalesce(min(turn) FILTER (refused), CASE WHEN bool_or(ends) THEN -1 END) IS NULL AS valid,
-       CAST(coalesce(min(turn) FILTER (refused), CASE WHEN bool_or(ends) THEN -1 END) AS BIGINT) AS first_error, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(4 + len(role) + 2 + len(body) + 9) AS BIGINT) AS formatted_chars
@@ -80,4 +80,4 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.select(
         "conv_id", F.size(chat.read_back(F.col("formatted"))).cast("long").alias("n_turns"), F.sha2(back, 256).alias("turns_sha256"),
         F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid", "first_error")
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
