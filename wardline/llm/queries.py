@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate
+from wardline.llm import chat, decontaminate, html_text, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+@query()
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query("""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
@@ -81,3 +88,10 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size(chat.read_back(F.col("formatted"))).cast("long").alias("n_turns"), F.sha2(back, 256).alias("turns_sha256"),
         F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
+@query()
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
