@@ -150,7 +150,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
     def rows(sequences: list, first: int, keys: pa.Array) -> pa.RecordBatch:
         if not sequences:
             return None
-        groups = _step_groups(sequences, step)
+        groups, number_of = _step_groups(sequences, step), {}
         cols = {n: [] for n in names}
         parts, at = [], []
         for number, ((tier, pieces), group) in enumerate(zip(sequences, groups, strict=True), first):
@@ -158,7 +158,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
             for k, ids, a, n in pieces:
                 at.append(k)
                 parts.append(ids[a:a + n])
-                for name, v in zip(names, (a, n, len(ids), number, offset, tier, group), strict=True):
+                for name, v in zip(names, (a, n, len(ids), number, offset, tier, first + number_of.setdefault((tier, group), len(number_of))), strict=True):
                     cols[name].append(v)
                 offset += n
         data = np.concatenate(parts).astype("<u4", copy=False)

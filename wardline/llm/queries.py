@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, packing
+from wardline.llm import chat, decontaminate, html_text, langid, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,7 +80,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted and read back from the output."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = r"\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     chats = chat.format_chats(turns.unionByName(extra))
     back = F.array_join(F.transform(chat.read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = chat.loss_text(F.col("formatted"), F.col("segments"))
@@ -95,3 +95,12 @@ def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
+@query()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    out, c = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col(c)["lang"].alias("lang_pred"), F.col(c)["score"].alias("score"))
