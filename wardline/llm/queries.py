@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, packing
+from wardline.llm import chat, decontaminate, html_text, langid, neardup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,3 +104,29 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
     out, c = langid.identify(docs.select("doc_id", "text"), model)
     return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col(c)["lang"].alias("lang_pred"), F.col(c)["score"].alias("score"))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learnt from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~langid.held_out(F.col("doc_id")))
+    out, c = toxicity.score(docs, toxicity.train(docs, labels))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col(c).alias("score"), (F.col(c) >= 0.3).cast("int").alias("predicted"))
+
+
+@query("""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS d, doc_id AS r FROM d UNION SELECT reach.d, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a)
+SELECT d AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id, d = min(r) AS kept
+FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d
+""")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
