@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, neardup, packing, toxicity
+from wardline.llm import chat, decontaminate, html_text, langid, neardup, packing, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,15 @@ FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near duplicates."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good AS a JOIN good AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS d, vec_id AS r FROM v UNION SELECT reach.d, link.b FROM reach JOIN link ON reach.r = link.a)
+SELECT d AS vec_id, CAST((SELECT count(*) FROM link WHERE link.a = d) AS BIGINT) AS n_links, min(r) AS component_id, d = min(r) AS kept FROM reach GROUP BY d
+""")
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its links and its component."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
