@@ -182,3 +182,58 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         h = h * _P + words[j:j + n]
     return mix(h)
+
+
+# -------------------------------------------------------- banded candidates
+
+#: Bits of a sieve; as a table of 64-bit words it has at most SIEVE / 64 rows.
+SIEVE = 1 << 23
+
+
+def sieve(rows: DataFrame, column: str, keys: DataFrame, inside: bool = True) -> DataFrame:
+    """The rows whose ``column`` may be in ``keys`` (its only column), or those
+    that surely are not: a bitmap of fixed size is broadcast, so that most rows
+    are told apart before a shuffle."""
+    slot = F.pmod(F.xxhash64(F.lit(7), column), F.lit(SIEVE))
+    words = (keys.select(F.pmod(F.xxhash64(F.lit(7), keys.columns[0]), F.lit(SIEVE)).alias("slot"))
+             .groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits")))
+    word, bits, at = (fresh(rows.columns, x) for x in ("word", "bits", "slot"))
+    words = words.select(F.col("word").alias(word), F.col("bits").alias(bits))
+    marked = rows.withColumn(at, slot).withColumn(word, F.shiftright(at, 6)).join(F.broadcast(words), word, "inner" if inside else "left")
+    on = F.getbit(F.coalesce(bits, F.lit(0).cast("long")), F.col(at).bitwiseAND(63).cast("int"))
+    return marked.where(on == (1 if inside else 0)).select(*rows.columns)
+
+
+def band_components(bands: DataFrame, sizes: DataFrame, threshold: int, check, name: str) -> DataFrame:
+    """Components of the links that ``check(pairs(a, b))`` confirms among ids that
+    share a band: ``(node, root)`` as ``components`` gives them.
+
+    ``bands(band, id)`` and ``sizes(id, n)``; pairs whose smaller size is under
+    ``threshold`` percent of the larger are never linked.  Each band's smallest
+    and largest id are compared with its other ids; then ids of a band that are
+    still in different components are compared with one another.  So pairs within
+    a component, of which a large group has many, are not made, and no link
+    between components is missed.  Bands are only aggregated and joined, never
+    gathered.
+    """
+    shared = store(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), f"{name}-shared")
+    held = store(sieve(bands, "band", shared.select("band")).join(shared.select("band"), "band", "left_semi").select("band", "id"), f"{name}-held")
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        a, b = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in ("a", "b"))
+        return pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold).select("a", "b")
+
+    ends = held.join(shared, "band")
+    stars = ends.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).unionAll(
+        ends.where("id > low and id < high").select(F.col("id").alias("a"), F.col("high").alias("b")))
+    first = store(fitting(stars.distinct()), f"{name}-stars")
+    links = store(check(first), f"{name}-links")
+    found = components(links, f"{name}-first")
+    label = held.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
+    split = label.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
+    apart = store(label.join(split, "band", "left_semi").join(sizes, "id").select("band", "id", "root", "n"), f"{name}-apart")
+    l, r = apart.alias("l"), apart.alias("r")
+    rest = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root"))
+                  & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * threshold))
+    rest = rest.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    return components(links.unionAll(check(store(rest, f"{name}-rest"))), f"{name}-all")

@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import byte_table, chunks, components, fresh, gram_hashes, mix, runs, span_hashes, store
+from wardline.llm.common import band_components, byte_table, chunks, fresh, gram_hashes, mix, runs, sieve, span_hashes, store
 
 SHINGLE = 5
 #: Registers, rows of a band, base of the scale, and the chance that a register
@@ -114,10 +113,10 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def _bands(classes: DataFrame, rows: int = ROWS) -> DataFrame:
-    """``(id, n, band)``: one row for each band of registers, hashed with its number."""
+    """``(id, band)``: one row for each band of registers, hashed with its number."""
     size = 2 * rows
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * size + 1, size)) for i in range(REGISTERS // rows)])
-    return classes.select("id", "n", F.explode(keys).alias("band"))
+    return classes.select("id", F.explode(keys).alias("band"))
 
 
 def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -162,9 +161,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: i
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    own = (docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(wanted, "id", "left_semi")
-           .mapInArrow(sets, "id long, s binary").groupBy("id").agg(F.first("s").alias("s")))
-    own = store(own, "shingle-sets")
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    own = (sieve(texts, "id", wanted)
+           .mapInArrow(sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s")))
+    own = store(own.join(wanted, "id", "left_semi"), "shingle-sets")
     return (pairs.join(own.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(own.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long"))
 
@@ -177,43 +177,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     Null and empty texts have the empty set and link with nothing.  ``key`` must
     be integer; rows with a null key are left out; of rows with one key the
     largest set (then digest) stands for it.  Equal sets form a class first, so
-    copies cost one row.  Within a band, classes are compared with the smallest
-    one and then with another one; classes that are still apart are compared with
-    all others in their band.  No group is gathered and no pair inside a known
-    component is made.
+    copies cost one row; ``band_components`` compares the classes.
     """
     per_row = sketch(docs, key, text).where(F.col("id").isNotNull())
     rows = store(per_row.groupBy("id").agg(F.max(F.struct("n", "digest", "regs")).alias("r")).select("id", "r.*"), "sketches")
     member = rows.groupBy("digest", "n").agg(F.min("id").alias("rep")).where("n > 0")
     classes = store(rows.join(member.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "regs"), "classes")
-    bands = _bands(classes)
-    shared = bands.groupBy("band").agg(F.count("*").alias("c"), F.min("id").alias("low"), F.min_by("id", F.xxhash64("id", "band")).alias("other")).where("c > 1")
-    shared = store(shared.drop("c"), "bands")
-    held = store(bands.join(shared.select("band"), "band", "left_semi"), "held")  # classes that share a band
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * threshold)
-    sizes = classes.select(F.col("id").alias("centre"), F.col("n").alias("nc"))
-
-    def checked(pairs: DataFrame) -> DataFrame:
+
+    def check(pairs: DataFrame) -> DataFrame:
         near = store(_estimate(pairs, classes, threshold / 100), "likely")
-        return store(_verify(near, docs, key, text, threshold), "links")
-
-    # round 1: the smallest and another class of each band against the rest
-    stars = reduce(DataFrame.unionAll, [held.join(shared.select("band", F.col(c).alias("centre")), "band").where("id != centre") for c in ("low", "other")])
-    first = (stars.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"), "n", F.col("id").alias("member")).distinct()
-             .select("a", "b", "n", F.when(F.col("member") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("centre"))
-             .join(sizes, "centre").where(fits(F.col("n"), F.col("nc"))).select("a", "b").distinct())
-    first = store(first, "stars")
-    links = checked(first)
-    found = components(links, "classes-linked")
-    # round 2: classes of one band that are in different components
-    label = held.join(found.withColumnRenamed("node", "id"), "id", "left").select("id", "n", "band", F.coalesce("root", "id").alias("root"))
-    split = label.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
-    apart = store(label.join(split, "band", "left_semi"), "apart")
-    l, r = apart.alias("l"), apart.alias("r")
-    second = (l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root"))
-                     & fits(F.col("l.n"), F.col("r.n"))).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct())
-    more = checked(second.join(first, ["a", "b"], "left_anti"))
-    roots = components(links.unionAll(more), "linked")
+        return _verify(near, docs, key, text, threshold)
+
+    roots = band_components(_bands(classes), classes.select("id", "n"), threshold, check, "near")
     whole = (rows.join(member, ["digest", "n"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", "n", F.coalesce("root", "rep", "id").alias("component_id")))
     return whole.select(F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id",

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, neardup, packing, toxicity, vectors
+from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,3 +142,25 @@ SELECT d AS vec_id, CAST((SELECT count(*) FROM link WHERE link.a = d) AS BIGINT)
 def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding with its links and its component."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("""
+WITH RECURSIVE l AS (SELECT doc_id, i - 1 AS line_no, lower(trim(translate(s[i], chr(9) || chr(11) || chr(12) || chr(13), '    '))) AS t
+  FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))),
+o AS (SELECT * FROM l WHERE t <> ''),
+u AS (SELECT t, row_number() OVER (ORDER BY t) AS id FROM (SELECT DISTINCT t FROM o)),
+g AS (SELECT DISTINCT id, substring(t, i, 5) AS s FROM (SELECT id, t, unnest(range(1, greatest(len(t) - 4, 1) + 1)) AS i FROM u)),
+n AS (SELECT id, count(*) AS n FROM g GROUP BY 1),
+pairs AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM g AS a JOIN g AS b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pairs JOIN n AS x ON x.id = a JOIN n AS y ON y.id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT id AS d, id AS r FROM u UNION SELECT reach.d, both_ways.b FROM reach JOIN both_ways ON reach.r = both_ways.a),
+c AS (SELECT d AS id, min(r) AS comp FROM reach GROUP BY 1),
+w AS (SELECT doc_id, line_no, comp FROM o JOIN u USING (t) JOIN c USING (id)),
+f AS (SELECT comp, min((doc_id, line_no)) AS first FROM w GROUP BY 1)
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, (doc_id, line_no) = first AS kept FROM w JOIN f USING (comp)
+""")
+def op6_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document, and whether it is its component's first."""
+    out = lines.near_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("key").alias("doc_id"), F.col("no").cast("long").alias("line_no"), "kept")
