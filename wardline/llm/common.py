@@ -204,7 +204,7 @@ def sieve(rows: DataFrame, column: str, keys: DataFrame, inside: bool = True) ->
     return marked.where(on == (1 if inside else 0)).select(*rows.columns)
 
 
-def band_components(bands: DataFrame, sizes: DataFrame, threshold: int, check, name: str) -> DataFrame:
+def band_components(bands: DataFrame, sizes: DataFrame, threshold: int, check, name: str, rest=None) -> DataFrame:
     """Components of the links that ``check(pairs(a, b))`` confirms among ids that
     share a band: ``(node, root)`` as ``components`` gives them.
 
@@ -214,7 +214,8 @@ def band_components(bands: DataFrame, sizes: DataFrame, threshold: int, check, n
     still in different components are compared with one another.  So pairs within
     a component, of which a large group has many, are not made, and no link
     between components is missed.  Bands are only aggregated and joined, never
-    gathered.
+    gathered.  ``rest(apart(band, id, root, n))`` may name the pairs between
+    components that are worth a check; without it they are all joined.
     """
     shared = store(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), f"{name}-shared")
     held = store(sieve(bands, "band", shared.select("band")).join(shared.select("band"), "band", "left_semi").select("band", "id"), f"{name}-held")
@@ -232,8 +233,51 @@ def band_components(bands: DataFrame, sizes: DataFrame, threshold: int, check, n
     label = held.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
     split = label.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
     apart = store(label.join(split, "band", "left_semi").join(sizes, "id").select("band", "id", "root", "n"), f"{name}-apart")
-    l, r = apart.alias("l"), apart.alias("r")
-    rest = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root"))
-                  & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * threshold))
-    rest = rest.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    return components(links.unionAll(check(store(rest, f"{name}-rest"))), f"{name}-all")
+    if rest is None:
+        l, r = apart.alias("l"), apart.alias("r")
+        pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root"))
+                       & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * threshold)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    else:
+        pairs = rest(apart)
+    more = check(store(pairs.distinct().join(first, ["a", "b"], "left_anti"), f"{name}-rest"))
+    return components(links.unionAll(more), f"{name}-all")
+
+
+# ------------------------------------------------------- groups in blocks
+
+#: Rows of a block; larger groups are compared in pairs of blocks.
+BLOCK = 512
+
+
+def in_blocks(rows: DataFrame, by: list[str], key: str) -> DataFrame:
+    """``rows`` laid out so that a task meets any two rows of a group ``by``:
+    columns ``x <= y`` name two blocks of the group and ``own`` the row's.  Groups
+    of more than BLOCK rows take several tasks, those of one row are left out.
+    Sorted by ``by, x, y`` within tasks."""
+    full = rows.groupBy(*by).agg(F.count("*").alias("c")).where("c > 1").select(*by, F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
+    member = rows.join(full, by).withColumn("own", F.pmod(F.xxhash64(key), "blocks").cast("int"))
+    member = member.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return member.withColumns({"x": F.least("own", "with"), "y": F.greatest("own", "with")}).drop("with")
+
+
+def dealt(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Groups ``by, x, y`` each in one task, sorted."""
+    return rows.repartition(*by, "x", "y").sortWithinPartitions(*by, "x", "y")
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal ``keys``, of batches sorted by them; runs of one
+    row are left out."""
+    held = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        part = pa.concat_tables([held, part]).combine_chunks() if held is not None else part
+        cols = [part.column(k).to_numpy() for k in keys]
+        new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
+        bounds = [0, *new.tolist()]
+        for lo, hi in zip(bounds, bounds[1:], strict=False):
+            if hi - lo > 1:
+                yield part.slice(lo, hi - lo)
+        held = part.slice(bounds[-1])
+    if held is not None and len(held) > 1:
+        yield held

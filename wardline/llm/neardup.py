@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import band_components, byte_table, chunks, fresh, gram_hashes, mix, runs, sieve, span_hashes, store
+from wardline.llm.common import band_components, byte_table, chunks, dealt, fresh, gram_hashes, groups, in_blocks, mix, runs, sieve, span_hashes, store
 
 SHINGLE = 5
 #: Registers, rows of a band, base of the scale, and the chance that a register
@@ -136,6 +136,34 @@ def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return both.mapInArrow(run, "a long, b long")
 
 
+def _likely_in_blocks(apart: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs ``(a, b)`` of one band and two components whose sizes and registers
+    allow the threshold, each found in the first band that both are in.  Bands are
+    compared in blocks inside tasks, so unlikely pairs are never rows."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(batches, ["band", "x", "y"]):
+            x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
+            own, ids, root, n = (t.column(c).to_numpy() for c in ("own", "id", "root", "n"))
+            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(len(t), -1)
+            bands = regs.reshape(len(t), -1, ROWS)
+            here = int((bands == bands[:1]).all(2).all(0).argmax())
+            for lo in range(0, len(t), 64):
+                i, j = ((root[lo:lo + 64, None] != root[None, :]) & (100 * np.minimum(n[lo:lo + 64, None], n) >= threshold * np.maximum(n[lo:lo + 64, None], n))).nonzero()
+                i += lo
+                keep = i < j if x == y else (own[i] == x) & (own[j] == y)
+                i, j = i[keep], j[keep]
+                if here:
+                    keep = ~(bands[i, :here] == bands[j, :here]).all(2).any(1)
+                    i, j = i[keep], j[keep]
+                if len(i):
+                    near = _likelihood_filter(regs[i], regs[j], n[i].astype(float), n[j].astype(float), threshold / 100)
+                    a, b = ids[i[near]], ids[j[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    rows = in_blocks(apart, ["band"], "id").join(classes.select("id", "regs"), "id")
+    return dealt(rows.select("band", "x", "y", "own", "id", "root", "n", "regs"), ["band"]).mapInArrow(compare, "a long, b long")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
     """The pairs with 100 * intersection >= threshold * union on the full sets,
     made anew from the texts of the documents in a pair.  Sets travel as 5-byte
@@ -188,7 +216,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         near = store(_estimate(pairs, classes, threshold / 100), "likely")
         return _verify(near, docs, key, text, threshold)
 
-    roots = band_components(_bands(classes), classes.select("id", "n"), threshold, check, "near")
+    roots = band_components(_bands(classes), classes.select("id", "n"), threshold, check, "near", lambda apart: _likely_in_blocks(apart, classes, threshold))
     whole = (rows.join(member, ["digest", "n"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", "n", F.coalesce("root", "rep", "id").alias("component_id")))
     return whole.select(F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id",

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, toxicity, vectors
+from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, repeats, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,11 @@ def op6_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document, and whether it is its component's first."""
     out = lines.near_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("key").alias("doc_id"), F.col("no").cast("long").alias("line_no"), "kept")
+
+
+@query()
+def op7_cut_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 100-byte strings that start earlier."""
+    out, c = repeats.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.col(c["removed"]).alias("n_removed"),
+                      F.size(c["spans"]).cast("long").alias("n_spans"), F.sha2(F.col(c["kept"]), 256).alias("kept_sha256"))

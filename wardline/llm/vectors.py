@@ -16,12 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import components, store
+from wardline.llm.common import components, dealt, groups, in_blocks, store
 
 #: Tables, hashes of a bucket, buckets a vector probes in each table.
 TABLES, HASHES, PROBES = 6, 2, 4
-#: Rows of a block; fuller buckets are compared in pairs of blocks.
-BLOCK = 512
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -72,23 +70,6 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Rows with equal first columns, of batches sorted by them."""
-    held = None
-    for batch in batches:
-        part = pa.Table.from_batches([batch])
-        part = pa.concat_tables([held, part]).combine_chunks() if held is not None else part
-        cols = [part.column(i).to_numpy() for i in range(keys)]
-        new = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in cols])) + 1
-        bounds = [0, *new.tolist()]
-        for lo, hi in zip(bounds, bounds[1:], strict=False):
-            if hi - lo > 1:
-                yield part.slice(lo, hi - lo)
-        held = part.slice(bounds[-1])
-    if held is not None and len(held) > 1:
-        yield held
-
-
 def local_roots(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
     """The smallest member of each member's component under the links (i, j)."""
     root = np.arange(n)
@@ -145,14 +126,12 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
     base = store(classes.select("e", "id", "weight").mapInArrow(hashed, "id long, weight long, dim int, v binary, places array<long>"), "vectors")
     entry = (base.select("id", "dim", F.posexplode("places").alias("at", "bucket"))
              .select("id", "dim", (F.col("bucket") * tables + F.floor(F.col("at") / probes)).alias("place")))
-    full = entry.groupBy("dim", "place").agg(F.count("*").alias("c")).where("c > 1").select("dim", "place", F.ceil(F.col("c") / BLOCK).cast("int").alias("blocks"))
-    member = entry.join(full, ["dim", "place"]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    member = member.select("place", "id", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-    data = (member.select("place", "id", "own", F.least("own", "with").alias("x"), F.greatest("own", "with").alias("y"))
-            .join(base, "id").select("dim", "place", "x", "y", "own", "id", "weight", "v", "places"))
+    place = ["dim", "place"]
+    data = (in_blocks(entry, place, "id").select("place", "x", "y", "own", "id").join(base, "id")
+            .select("dim", "place", "x", "y", "own", "id", "weight", "v", "places"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _runs(batches, 4):
+        for t in groups(batches, ["dim", "place", "x", "y"]):
             x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
             own, ids, weight = (t.column(c).to_numpy() for c in ("own", "id", "weight"))
             v = _matrix(t.column("v").combine_chunks(), "<f8")
@@ -172,8 +151,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
             on = links > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(links[on].astype(np.int64)), pa.array(root[on])], names=["id", "links", "root"])
 
-    spread = data.repartition("dim", "place", "x", "y").sortWithinPartitions("dim", "place", "x", "y")
-    found = store(spread.mapInArrow(compare, "id long, links long, root long"), "vector-links")
+    found = store(dealt(data, place).mapInArrow(compare, "id long, links long, root long"), "vector-links")
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
     of_class = (base.select("id", "weight").join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")
                 .join(roots.withColumnRenamed("node", "id"), "id", "left")
