@@ -4,8 +4,11 @@ cannot clash, connected components, and vectorised byte kernels for tasks."""
 from __future__ import annotations
 
 import functools
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,26 @@ from wardline.session import scratch_path
 # ---------------------------------------------------------------- DataFrames
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so that
+    executors need no installed copy."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_wardline_shipped", False):
+        top = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="wardline-")) / "wardline.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        sc.addPyFile(str(target))
+        sc._wardline_shipped = True
+
+
+def in_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow(fn, schema)`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, or with underscores behind it until no column has that name."""
     taken = {c.lower() for c in columns}

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import ALNUM, chunks, fresh, gram_hashes, runs, span_hashes, store
+from wardline.llm.common import ALNUM, chunks, fresh, gram_hashes, in_arrow, runs, span_hashes, store
 
 WINDOW = 10
 #: Windows broadcast at once; more are taken in several passes over the documents.
@@ -51,7 +51,7 @@ def windows(benchmark: DataFrame, k: int = WINDOW) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["h", "words", "text", "item_id"])
 
     return (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(cut, "h long, words int, text string, item_id long")
+            .transform(in_arrow, cut, "h long, words int, text string, item_id long")
             .groupBy("h", "words", "text").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
 
 
@@ -141,7 +141,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", k: int =
         index = spark.sparkContext.broadcast([(r.h, r.words, r.text, r["items"]) for r in rows])
         if i:
             out = store(out, "decontaminate")
-        out = out.mapInArrow(_pass(index, text, column), out.schema)
+        out = out.transform(in_arrow, _pass(index, text, column), out.schema)
     return out, column
 
 

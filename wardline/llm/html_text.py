@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.common import in_arrow
+
 # Elements by how they are parsed and shown.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style xmp iframe noembed noframes noscript textarea title".split())
@@ -381,4 +383,4 @@ def extract(pages: DataFrame, markup: str = "html", out: str = "text") -> DataFr
                 text = pa.array([render(x) for x in pc.cast(part.column(at), pa.large_string()).to_pylist()], part.schema.field(at).type)
                 yield part.set_column(at, part.schema.field(at), text)
 
-    return marked.mapInArrow(run, marked.schema)
+    return marked.transform(in_arrow, run, marked.schema)

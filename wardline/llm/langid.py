@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import chunks, fresh, store
+from wardline.llm.common import chunks, fresh, in_arrow, store
 
 #: Slots of the filter, hash functions, and languages a mask holds.
 SLOTS, HASHES, MOST = 1 << 20, 3, 63
@@ -116,7 +116,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([language] * len(part)), pa.array(part.astype(np.int32)), pa.array(counts[lo:lo + 50_000].astype(np.int64))], names=["lang", "code", "n"])
 
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).dropna()
-    counts = store(labelled.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")), "langid-grams")
+    counts = store(labelled.transform(in_arrow, count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")), "langid-grams")
     totals = sorted(((r["lang"], r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MOST + 1).collect()), key=lambda r: (-r[1], r[0]))
     if len(totals) > MOST:
         raise ValueError(f"more than {MOST} languages")
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFra
                     pa.array(np.where(ok, share, 0.0))], ["lang", "score"])
                 yield rows.set_column(rows.num_columns - 1, rows.schema.field(rows.num_columns - 1), out)
 
-    return marked.mapInArrow(run, marked.schema).drop(letter), column
+    return marked.transform(in_arrow, run, marked.schema).drop(letter), column
 
 
 def held_out(key: Column) -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import band_components, byte_table, chunks, dealt, fresh, gram_hashes, groups, in_blocks, mix, runs, sieve, span_hashes, store
+from wardline.llm.common import band_components, byte_table, chunks, dealt, fresh, gram_hashes, groups, in_arrow, in_blocks, mix, runs, sieve, span_hashes, store
 
 SHINGLE = 5
 #: Registers, rows of a band, base of the scale, and the chance that a register
@@ -109,7 +109,7 @@ def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                     pa.array([r.tobytes() for r in regs], pa.binary())], names=["id", "n", "digest", "regs"])
 
     return (docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-            .mapInArrow(run, "id long, n int, digest binary, regs binary"))
+            .transform(in_arrow, run, "id long, n int, digest binary, regs binary"))
 
 
 def _bands(classes: DataFrame, rows: int = ROWS) -> DataFrame:
@@ -133,7 +133,7 @@ def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     a = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
     b = classes.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb")
-    return both.mapInArrow(run, "a long, b long")
+    return both.transform(in_arrow, run, "a long, b long")
 
 
 def _likely_in_blocks(apart: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
@@ -161,7 +161,7 @@ def _likely_in_blocks(apart: DataFrame, classes: DataFrame, threshold: int) -> D
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     rows = in_blocks(apart, ["band"], "id").join(classes.select("id", "regs"), "id")
-    return dealt(rows.select("band", "x", "y", "own", "id", "root", "n", "regs"), ["band"]).mapInArrow(compare, "a long, b long")
+    return dealt(rows.select("band", "x", "y", "own", "id", "root", "n", "regs"), ["band"]).transform(in_arrow, compare, "a long, b long")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
@@ -191,10 +191,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: i
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     own = (sieve(texts, "id", wanted)
-           .mapInArrow(sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s")))
+           .transform(in_arrow, sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s")))
     own = store(own.join(wanted, "id", "left_semi"), "shingle-sets")
     return (pairs.join(own.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(own.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long"))
+            .join(own.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").transform(in_arrow, test, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 85) -> DataFrame:

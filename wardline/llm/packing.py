@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import chunks
+from wardline.llm.common import chunks, in_arrow
 
 LONGEST, SHORTEST = 1024, 128
 #: Tokens of a step group.
@@ -189,5 +189,5 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
         if packer.open:
             yield rows(list(packer.rest()), number, held)
 
-    return docs.select(F.col(key), F.col(text).cast("string").alias("t")).mapInArrow(
-        run, f"`{key}` {kind}, {', '.join(f'{n} long' for n in names)}, ids binary")
+    return docs.select(F.col(key), F.col(text).cast("string").alias("t")).transform(
+        in_arrow, run, f"`{key}` {kind}, {', '.join(f'{n} long' for n in names)}, ids binary")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import chunks, fresh, gram_hashes, runs, span_hashes, store
+from wardline.llm.common import chunks, fresh, gram_hashes, in_arrow, runs, span_hashes, store
 from wardline.llm.langid import _SYMBOL as SYMBOL
 
 #: Labelled rows that the classifier is fitted on at most, its features at most,
@@ -53,7 +53,7 @@ def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["code", "n"])
 
-    rows = (docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "code int, n long")
+    rows = (docs.select(F.col(text).cast("string").alias("text")).transform(in_arrow, count, "code int, n long")
             .groupBy("code").agg(F.sum("n").alias("n")).toPandas())
     n = np.zeros(TRIGRAMS)
     n[rows["code"].to_numpy()] = rows["n"].to_numpy()
@@ -234,7 +234,7 @@ class Model:
         r, h = rows[may], hashes[may]
         at = np.minimum(np.searchsorted(f, h), len(f) - 1)
         pair = np.unique(r[f[at] == h] * len(f) + at[f[at] == h])
-        return np.bincount(pair // len(f), self.weights[pair % len(f)], n)
+        return np.bincount(pair // len(f), self.weights[pair % len(f)], n).astype(float)  # integers if there is no pair
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -284,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("doc_id")), pa.array(keys, pa.int64())], names=["doc_id", "least"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    alone = rows.select("doc_id", "text").mapInArrow(least, f"doc_id {kind}, least long").groupBy("least").agg(F.min("doc_id").alias("doc_id"))
+    alone = rows.select("doc_id", "text").transform(in_arrow, least, f"doc_id {kind}, least long").groupBy("least").agg(F.min("doc_id").alias("doc_id"))
     rows = store(rows.join(F.broadcast(alone.select("doc_id")), "doc_id").select("toxic", "text"), "toxicity-alone")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +300,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         return Model(cost, np.zeros(0, np.uint64), np.zeros(0), 0.0, 30.0 if p else -30.0)
     a, k, rate = F.col("toxic").cast("double"), F.col("n").cast("double"), p / n
     gain = a * F.log(a / (k * rate)) + F.when(k > a, (k - a) * F.log((k - a) / (k * (1 - rate)))).otherwise(0.0)
-    best = (rows.mapInArrow(count, "h long, toxic long, n long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+    best = (rows.transform(in_arrow, count, "h long, toxic long, n long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
             .where(a > k * rate).where(gain >= GAIN).orderBy(F.desc(gain), "h").limit(FEATURES).toPandas())
     order = np.argsort(best["h"].to_numpy(np.int64).view(np.uint64))
     features = best["h"].to_numpy(np.int64).view(np.uint64)[order]
@@ -316,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             for part, data, offs in chunks(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int32()), pa.array(m.evidence(*reader.features(data, offs), len(part)))], names=["toxic", "x"])
 
-    got = rows.mapInArrow(evidence, "toxic int, x double").toPandas()
+    got = rows.transform(in_arrow, evidence, "toxic int, x double").toPandas()
     slope, bias = _fit(got["x"].to_numpy(), got["toxic"].to_numpy(float))
     return Model(cost, features, weights, slope, bias)
 
@@ -338,4 +338,4 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> tuple[DataFrame,
                 p = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
                 yield rows.set_column(rows.num_columns - 1, rows.schema.field(rows.num_columns - 1), pa.array(p))
 
-    return marked.mapInArrow(run, marked.schema), column
+    return marked.transform(in_arrow, run, marked.schema), column

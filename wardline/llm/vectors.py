@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import components, dealt, groups, in_blocks, store
+from wardline.llm.common import components, dealt, groups, in_arrow, in_blocks, store
 
 #: Tables, hashes of a bucket, buckets a vector probes in each table.
 TABLES, HASHES, PROBES = 6, 2, 4
@@ -123,7 +123,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
                         batch.column(1).take(take), batch.column(2).take(take), pa.array(np.full(len(at), dim, np.int32)), pa.array([r.tobytes() for r in d.astype("<f8")], pa.binary()),
                         pa.array(list(places.reshape(len(at), -1)), pa.list_(pa.int64()))], names=["id", "weight", "dim", "v", "places"])
 
-    base = store(classes.select("e", "id", "weight").mapInArrow(hashed, "id long, weight long, dim int, v binary, places array<long>"), "vectors")
+    base = store(classes.select("e", "id", "weight").transform(in_arrow, hashed, "id long, weight long, dim int, v binary, places array<long>"), "vectors")
     entry = (base.select("id", "dim", F.posexplode("places").alias("at", "bucket"))
              .select("id", "dim", (F.col("bucket") * tables + F.floor(F.col("at") / probes)).alias("place")))
     place = ["dim", "place"]
@@ -151,7 +151,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
             on = links > 0
             yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(links[on].astype(np.int64)), pa.array(root[on])], names=["id", "links", "root"])
 
-    found = store(dealt(data, place).mapInArrow(compare, "id long, links long, root long"), "vector-links")
+    found = store(dealt(data, place).transform(in_arrow, compare, "id long, links long, root long"), "vector-links")
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-components")
     of_class = (base.select("id", "weight").join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")
                 .join(roots.withColumnRenamed("node", "id"), "id", "left")
