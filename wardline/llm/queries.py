@@ -145,7 +145,7 @@ def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE l AS (SELECT doc_id, i - 1 AS line_no, lower(trim(translate(s[i], chr(9) || chr(11) || chr(12) || chr(13), '    '))) AS t
+WITH RECURSIVE l AS (SELECT doc_id, i - 1 AS line_no, lower(trim(s[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13))) AS t
   FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))),
 o AS (SELECT * FROM l WHERE t <> ''),
 u AS (SELECT t, row_number() OVER (ORDER BY t) AS id FROM (SELECT DISTINCT t FROM o)),
