@@ -118,12 +118,22 @@ def test_trends(spark):
 
 
 def test_ttl_episodes(spark):
-    rows = [("A", "2024-01-01 00:00:00", 1), ("A", "2024-01-02 00:00:00", 2),          # exactly 24 h: same
-            ("A", "2024-01-03 00:00:00.000001", 3)]                                     # just over: new
-    df = spark.createDataFrame(rows, "patient_id string, ts string, rec_offset long") \
-        .withColumn("ingest_ts", F.col("ts").cast("timestamp"))
-    ep = ctx.context_episodes(df).orderBy("episode").collect()
-    assert [e.updates for e in ep] == [2, 1]
+    rows = [("A", "2024-01-01 00:00:00", 1, "v"), ("A", "2024-01-02 00:00:00", 2, "v"),  # exactly 24 h: same
+            ("A", "2024-01-03 00:00:00.000001", 3, "v"),                                # just over: new
+            ("B", "2024-01-01 00:00:00", 1, "v"), ("B", "2024-01-01 20:00:00", 1, "c"),  # another source refreshes
+            ("B", "2024-01-02 19:00:00", 2, "m"), ("B", "2024-01-03 18:00:00", 2, "v"),
+            ("C", "2024-01-01 00:00:00", 1, "c"), ("C", "2024-01-05 00:00:00", 2, "c"),
+            ("", "2024-01-01 00:00:00", 9, "v"), (None, "2024-01-01 00:00:00", 9, "m"), ("D", None, 9, "v")]
+    df = spark.createDataFrame(rows, "patient_id string, ts string, rec_offset long, src string") \
+        .withColumn("ingest_ts", F.col("ts").cast("timestamp")).withColumn("updated_at", F.col("ingest_ts"))
+    v, c, m = (df.where(F.col("src") == x) for x in "vcm")
+    updates = ctx.context_updates(v, c, m)
+    ep = ctx.context_episodes(updates).orderBy("patient_id", "episode").collect()
+    assert [(e.patient_id, e.updates) for e in ep] == [("A", 2), ("A", 1), ("B", 4), ("C", 1), ("C", 1)]
+    starts = ctx.document_starts(updates)
+    left = lambda x, t: sorted((r.patient_id, r.rec_offset) for r in ctx.in_document(x, starts, t).collect())
+    assert left(v, "ingest_ts") == [("A", 3), ("B", 1), ("B", 2)]
+    assert left(c, "updated_at") == [("B", 1), ("C", 2)] and left(m, "updated_at") == [("B", 2)]
 
 
 def test_condition_resent_and_delete_before_insert(spark):

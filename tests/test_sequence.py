@@ -1,41 +1,61 @@
-"""The range-partitioned sequence primitive equals window functions, also
-when one key holds a third of the rows, and keeps partitions balanced."""
+"""The bucketed sequence primitive equals window functions, also when one key
+holds a third of the rows, and keeps partitions balanced."""
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wardline.operators.sequence import hot_key_rows, sequence_ops
+from wardline.operators.readmit import readmissions
+from wardline.operators.sequence import sequence_ops
 
 
-@pytest.fixture(scope="module")
-def skewed(spark):
-    return spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+def rows(spark, n, width):
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
             F.concat(F.lit("k"), (F.col("id") % 97).cast("string"))).alias("k"),
-        F.col("id").alias("o"), (F.col("id") % 7).cast("int").alias("x"), (F.col("id") * 1.5).alias("y"),
-        F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+        F.when(F.col("id") > 5, F.col("id") * width).alias("o"), F.col("id").alias("tie"),
+        F.when(F.col("id") % 11 != 0, (F.col("id") % 7).cast("int")).alias("x"), (F.col("id") * 1.5).alias("y"),
+        F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.lit("payload").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("q"))
 
 
 def expected(df):
-    w = Window.partitionBy("k").orderBy("o")
+    w = Window.partitionBy("k").orderBy("o", "tie")
     return df.select("*", F.row_number().over(w).cast("long").alias("rn"),
                      F.sum("x").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long").alias("cx"),
-                     F.lag("y").over(w).alias("ly"), F.lag("ts").over(w).alias("lts"),
+                     F.lag("x").over(w).alias("lx"), F.lag("ts").over(w).alias("lts"),
                      F.lead("y").over(w).alias("ny"))
 
 
-@pytest.mark.parametrize("strategy,limit", [("range", None), ("window", None), ("auto", 1000), ("auto", None)])
-def test_equals_window(skewed, strategy, limit):
-    kw = {"max_key_rows": limit} if limit else {}
-    s = sequence_ops(skewed, "k", ["o"], row_number="rn", running_sums={"cx": "x"},
-                     lags={"ly": "y", "lts": "ts"}, leads={"ny": "y"}, num_partitions=16, strategy=strategy, **kw)
-    e = expected(skewed)
-    assert s.exceptAll(e).count() == 0 and e.exceptAll(s).count() == 0
+@pytest.mark.parametrize("n,width", [(30_000, 1), (30_000, 40_000), (400_000, 7)])
+def test_equals_window(spark, n, width):
+    df = rows(spark, n, width)
+    s = sequence_ops(df, "k", ["o", "tie"], row_number="rn", running_sums={"cx": "x"},
+                     lags={"lx": "x", "lts": "ts"}, leads={"ny": "y"})
+    e = expected(df)
+    assert s.count() == n and s.exceptAll(e).count() == 0
 
 
-def test_range_plan_balances_hot_key(skewed):
-    assert hot_key_rows(skewed, "k") == (10000, 30000)
-    s = sequence_ops(skewed, "k", ["o"], row_number="rn", num_partitions=16, strategy="range")
-    biggest = s.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
-    assert biggest < 10000 / 2  # the hot key is split over several tasks
+def test_by_time(spark):
+    df = rows(spark, 50_000, 1)
+    s = sequence_ops(df, "k", ["ts"], row_number="rn")
+    w = Window.partitionBy("k").orderBy("ts")
+    assert s.exceptAll(df.select("*", F.row_number().over(w).cast("long").alias("rn"))).count() == 0
+
+
+def test_readmissions_with_a_patient_holding_a_third(spark):
+    stays = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), (F.col("id") % 5000).cast("string"))).alias("patient_id"),
+        F.timestamp_seconds(F.hash("id").cast("long") % 100_000_000 + 1_500_000_000).alias("admit_time"),
+        F.col("id").alias("encounter_id"), F.lit("payload").alias("p"))
+    stays = stays.withColumn("discharge_time", F.col("admit_time") + F.expr("interval 3 days"))
+    w = Window.partitionBy("patient_id").orderBy("admit_time", "encounter_id")
+    want = stays.select("encounter_id", F.datediff(F.lead("admit_time").over(w), "discharge_time").alias("g"), (F.row_number().over(w) - 1).alias("n"))
+    got = readmissions(stays).select("encounter_id", F.col("days_to_next_admit").alias("g"), F.col("prior_admission_count").alias("n"))
+    assert got.count() == 400_000 and got.exceptAll(want).count() == 0
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    df = rows(spark, 30_000, 1 << 8)
+    s = sequence_ops(df, "k", ["o", "tie"], row_number="rn")
+    biggest = s.where("k = 'hot'").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert biggest < 10_000 * 0.6

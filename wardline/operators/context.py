@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import rules
-from wardline.operators.sequence import MAX_KEY_ROWS, hot_key_rows, sequence_ops
+from wardline.operators.sequence import sequence_ops
 
 KEY = "patient_id"
 
@@ -175,29 +175,48 @@ def context_document(readings: DataFrame, conditions: DataFrame, medications: Da
     return (base.join(vit, KEY, "left").join(hist, KEY, "left").join(cond, KEY, "left").join(med, KEY, "left"))
 
 
-def context_episodes(readings: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS,
-                     time_col: str = "ingest_ts") -> DataFrame:
-    """TTL episodes: a gap of more than ``ttl_seconds`` without any update
-    expires the document, and the next message starts a fresh one.  The gap
-    test is a lag over the patient's updates in time order and the episode
-    number the running count of expiries -- both evaluated with the
-    range-partitioned sequence primitive, so a very active patient is spread
-    over many tasks."""
-    order = [time_col, "rec_offset"]
-    base = readings.select(KEY, time_col, "rec_offset")
-    hot, total = hot_key_rows(base, KEY)
-    n = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strategy = "range" if hot > max(MAX_KEY_ROWS, 2 * total / n) else "window"
-    lagged = sequence_ops(base, KEY, order, lags={"_prev": time_col}, strategy=strategy)
-    gap = F.unix_micros(F.col(time_col)) - F.unix_micros(F.col("_prev"))
-    flagged = lagged.withColumn("_new", F.when(gap.isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0))
-    ep = sequence_ops(flagged.drop("_prev"), KEY, order, running_sums={"episode": "_new"}, strategy=strategy)
+def context_updates(readings: DataFrame, conditions: DataFrame, medications: DataFrame) -> DataFrame:
+    """``(patient_id, t, src, rec_offset)``: everything that refreshes a context
+    document, from any of the three sources; rows without a patient or a time
+    refresh nothing."""
+    def of(df: DataFrame, time_col: str, src: int) -> DataFrame:
+        return df.select(KEY, F.col(time_col).alias("t"), F.lit(src).alias("src"), F.col("rec_offset").cast("long").alias("rec_offset"))
+    return (of(readings, "ingest_ts", 0).unionByName(of(conditions, "updated_at", 1)).unionByName(of(medications, "updated_at", 2))
+            .where((F.coalesce(KEY, F.lit("")) != "") & F.col("t").isNotNull()))
+
+
+def _with_starts(updates: DataFrame, ttl_seconds: int) -> DataFrame:
+    """Updates with ``_new`` 1 where a document starts: the patient's first, or
+    more than ``ttl_seconds`` after the last one."""
+    lagged = sequence_ops(updates, KEY, ["t", "src", "rec_offset"], lags={"_prev": "t"})
+    gap = F.unix_micros("t") - F.unix_micros("_prev")
+    return lagged.withColumn("_new", F.when(gap.isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0)).drop("_prev")
+
+
+def context_episodes(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
+    """TTL episodes of ``context_updates``: a gap of more than ``ttl_seconds``
+    without any update expires the document, and the next message starts a fresh
+    one.  The gap is a lag and the episode number a running count, both from the
+    bucketed sequence primitive, so a very active patient is spread over many
+    tasks."""
+    ep = sequence_ops(_with_starts(updates, ttl_seconds), KEY, ["t", "src", "rec_offset"], running_sums={"episode": "_new"})
     return ep.groupBy(KEY, "episode").agg(
-        F.min(time_col).alias("started_at"), F.max(time_col).alias("last_update"),
-        F.count(F.lit(1)).alias("updates"),
+        F.min("t").alias("started_at"), F.max("t").alias("last_update"), F.count(F.lit(1)).alias("updates"),
     ).withColumn("expires_at", F.col("last_update") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
 
 
+def document_starts(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
+    """``(patient_id, started_at)`` of each patient's newest document."""
+    return _with_starts(updates, ttl_seconds).groupBy(KEY).agg(F.max(F.when(F.col("_new") == 1, F.col("t"))).alias("started_at"))
+
+
+def in_document(rows: DataFrame, starts: DataFrame, time_col: str) -> DataFrame:
+    """The rows of a source that are in their patient's newest document: what came
+    before its start expired with an older one."""
+    s = starts.select(F.col(KEY).alias("_patient"), "started_at")
+    return rows.join(s, F.col(KEY) == F.col("_patient")).where(F.col(time_col) >= F.col("started_at")).select(*rows.columns)
+
+
 def context_live(episodes: DataFrame, as_of: str) -> DataFrame:
     """Documents still alive at ``as_of``: the patient's newest episode, if
     it has not expired.  Reads of expired ids find nothing."""

@@ -30,7 +30,7 @@ def readmissions(stays: DataFrame, days: int = 30) -> DataFrame:
     the prior admission count and the length of stay.
 
     The per-patient order (admit time, encounter) is evaluated with the
-    range-partitioned sequence primitive, so a patient with a very large
+    bucketed sequence primitive, so a patient with a very large
     number of stays is spread over many tasks."""
     seq = sequence_ops(stays, KEY, ["admit_time", "encounter_id"], row_number="_rn",
                        leads={"_next_admit": "admit_time"})

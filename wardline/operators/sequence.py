@@ -1,14 +1,13 @@
 """Ordered per-key sequence operations that stay balanced when one key holds
 a large share of the rows.
 
-``Window.partitionBy(key)`` puts every row of a key into one task.  Here the
-rows are range-partitioned by ``(key, order...)`` instead: the range bounds
-are sampled on the composite key, so a hot key is spread over many
-contiguous partitions.  Each partition is processed in order by a vectorised
-pandas pass (local row number, running sums, lag, lead).  Only keys that
-cross a partition boundary need a correction, and there are fewer such keys
-than partitions, so the fix-up table has one row per partition -- a proven
-bound -- and is broadcast back.
+``Window.partitionBy(key)`` puts every row of a key into one task.  Here a row's
+``bucket`` is a pure function of its first order column that never falls as the
+order rises (a week of a time, a stretch of numbers), windows run per
+``(key, bucket)``, and a small table with one row per ``(key, bucket)`` adds what
+came before (counts, sums, the last value) and what comes next (the first value).
+A hot key is spread over as many tasks as it has buckets.  There is one plan for
+every size and no job while the plan is built.
 
 Results equal the window functions ``row_number``, ``sum(...) ROWS UNBOUNDED
 PRECEDING``, ``lag`` and ``lead`` over ``partitionBy(key).orderBy(order)``
@@ -17,143 +16,69 @@ PRECEDING``, ``lag`` and ``lead`` over ``partitionBy(key).orderBy(order)``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The widths of a bucket.
+BUCKET_SECONDS = 7 * 86400
+BUCKET_NUMBERS = 1 << 16
 
-def _local_pass(key, rn_col, sums, lags, leads):
-    def run(batches):
-        import pandas as pd
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            yield pdf
-            return
-        k = pdf[key]
-        gid = (k.ne(k.shift()) | k.isna()).cumsum()
-        g = pdf.groupby(gid, sort=False)
-        pdf["_rn_local"] = g.cumcount().astype("int64") + 1
-        pdf["_last_local"] = gid.ne(gid.shift(-1))
-        for out, col in sums.items():
-            pdf[f"_cum_{out}"] = g[col].cumsum()
-        for out, col in lags.items():
-            pdf[f"_lag_{out}"] = g[col].shift(1)
-        for out, col in leads.items():
-            pdf[f"_lead_{out}"] = g[col].shift(-1)
-        yield pdf
-    return run
 
-
-# A key with more rows than this (and more than twice an average partition)
-# is too big for one window task; below it the plain window is cheaper.
-MAX_KEY_ROWS = 2_000_000
-
-
-def hot_key_rows(df: DataFrame, key: str) -> tuple[int, int]:
-    """(rows of the largest key, total rows): one partial-aggregate job that
-    reads only the key column."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n"), F.sum("n")).first()
-    return int(r[0] or 0), int(r[1] or 0)
+def order_bucket(df: DataFrame, column: str) -> Column:
+    """A long that never falls as ``column`` rises; nulls, which come first, get
+    the least one.  Other types than times and numbers are one bucket."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.DateType)):
+        b = F.floor(F.unix_seconds(F.col(column).cast("timestamp")) / BUCKET_SECONDS)
+    elif isinstance(kind, T.IntegralType):
+        b = F.floor(F.col(column) / BUCKET_NUMBERS)
+    else:
+        b = F.lit(0)
+    return F.coalesce(b.cast("long"), F.lit(-2**63).cast("long"))
 
 
 def sequence_ops(df: DataFrame, key: str, order: list[str], row_number: str | None = None,
                  running_sums: dict[str, str] | None = None, lags: dict[str, str] | None = None,
-                 leads: dict[str, str] | None = None, num_partitions: int | None = None,
-                 strategy: str = "auto", max_key_rows: int = MAX_KEY_ROWS) -> DataFrame:
+                 leads: dict[str, str] | None = None, bucket: Column | None = None) -> DataFrame:
     """Adds ``row_number`` (1-based), inclusive running sums, lags and leads
     per ``key`` in ``order``; output columns are named by the dict keys.
-
-    ``strategy``: ``"range"`` (balanced for hot keys), ``"window"`` (plain
-    window functions) or ``"auto"``: measure the largest key first and use
-    the range plan only when that key is too big for one task.
-    """
+    ``bucket`` replaces the default bucket of the first order column."""
     sums, lags, leads = running_sums or {}, lags or {}, leads or {}
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if strategy == "auto":
-        hot, total = hot_key_rows(df, key)
-        strategy = "range" if hot > max(max_key_rows, 2 * total / max(n, 1)) else "window"
-    if strategy == "window":
-        return _window_ops(df, key, order, row_number, sums, lags, leads)
-    types = {f.name: f.dataType for f in df.schema.fields}
-
-    def sum_type(c):
-        return T.LongType() if isinstance(types[c], (T.IntegerType, T.LongType, T.ShortType, T.ByteType)) \
-            else T.DoubleType()
-
-    fields = list(df.schema.fields) + [T.StructField("_pid", T.IntegerType()),
-                                       T.StructField("_rn_local", T.LongType()),
-                                       T.StructField("_last_local", T.BooleanType())]
-    fields += [T.StructField(f"_cum_{o}", sum_type(c)) for o, c in sums.items()]
-    fields += [T.StructField(f"_lag_{o}", types[c]) for o, c in lags.items()]
-    fields += [T.StructField(f"_lead_{o}", types[c]) for o, c in leads.items()]
-    ranged = (df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
-              .withColumn("_pid", F.spark_partition_id()))
-    loc = ranged.mapInPandas(_local_pass(key, row_number, sums, lags, leads), T.StructType(fields))
-
-    # One row per partition: its first and last key with what crosses a
-    # boundary.  Built from the range-partitioned rows with partial
-    # aggregates (the range exchange is reused, the pandas pass runs once):
-    # per (partition, key) counts / sums / edge values, then per partition.
-    ordkey = F.struct(*[F.col(c) for c in order])
-    pk = ranged.groupBy("_pid", key).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        *[F.sum(c).alias(f"sum_{o}") for o, c in sums.items()],
-        *[F.max_by(F.col(c), ordkey).alias(f"lagv_{o}") for o, c in lags.items()],
-        *[F.min_by(F.col(c), ordkey).alias(f"leadv_{o}") for o, c in leads.items()])
-    last = F.max_by(F.struct(F.col(key).alias("k"), F.col("cnt").alias("rn"),
-                             *[F.col(f"sum_{o}").alias(f"cum_{o}") for o in sums],
-                             *[F.col(f"lagv_{o}") for o in lags]), F.col(key)).alias("last")
-    first = F.min_by(F.struct(F.col(key).alias("k"), *[F.col(f"leadv_{o}") for o in leads]),
-                     F.col(key)).alias("first")
-    b = pk.groupBy("_pid").agg(first, last)
-    # run totals of a key over the partitions it ends (contiguous by construction)
-    run = Window.partitionBy("last.k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    b = b.select("_pid", "first", "last", F.sum("last.rn").over(run).alias("run_rn"),
-                 *[F.sum(f"last.cum_{o}").over(run).alias(f"run_{o}") for o in sums])
-    w = Window.orderBy("_pid")  # over the per-partition table only (bounded by n)
-    prev_same = F.lag("last.k").over(w) == F.col("first.k")
-    next_same = F.lead("first.k").over(w) == F.col("last.k")
-    fix = b.select(
-        "_pid", F.col("first.k").alias("_fk"), F.col("last.k").alias("_lk"),
-        F.when(prev_same, F.lag("run_rn").over(w)).otherwise(0).alias("_c_rn"),
-        *[F.when(prev_same, F.lag(f"run_{o}").over(w)).alias(f"_c_{o}") for o in sums],
-        *[F.when(prev_same, F.lag(f"last.lagv_{o}").over(w)).alias(f"_c_lag_{o}") for o in lags],
-        *[F.when(next_same, F.lead(f"first.leadv_{o}").over(w)).alias(f"_c_lead_{o}") for o in leads],
-    )
-    j = loc.join(F.broadcast(fix), "_pid")
-    is_first = F.col(key) == F.col("_fk")
-    is_last = F.col(key) == F.col("_lk")
-    out = [F.col(c) for c in df.columns]
-    if row_number:
-        out.append((F.col("_rn_local") + F.when(is_first, F.col("_c_rn")).otherwise(0)).alias(row_number))
-    for o in sums:
-        out.append((F.col(f"_cum_{o}") + F.when(is_first, F.coalesce(F.col(f"_c_{o}"), F.lit(0)))
-                    .otherwise(0)).cast(sum_type(sums[o])).alias(o))
-    for o in lags:
-        out.append(F.when(is_first & (F.col("_rn_local") == 1), F.col(f"_c_lag_{o}"))
-                   .otherwise(F.col(f"_lag_{o}")).alias(o))
-    for o in leads:
-        out.append(F.when(is_last & F.col("_last_local"), F.col(f"_c_lead_{o}"))
-                   .otherwise(F.col(f"_lead_{o}")).alias(o))
-    return j.select(*out)
-
-
-def _window_ops(df, key, order, row_number, sums, lags, leads):
-    w = Window.partitionBy(key).orderBy(*order)
     types = {f.name: f.dataType for f in df.schema.fields}
-    cols = [F.col(c) for c in df.columns]
-    if row_number:
-        cols.append(F.row_number().over(w).cast("long").alias(row_number))
-    for o, c in sums.items():
-        integral = isinstance(types[c], (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
-        cols.append(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0))
-                    .cast("long" if integral else "double").alias(o))
-    for o, c in lags.items():
-        cols.append(F.lag(c).over(w).alias(o))
-    for o, c in leads.items():
-        cols.append(F.lead(c).over(w).alias(o))
-    return df.select(*cols)
+    base = df.withColumn("_bucket", order_bucket(df, order[0]) if bucket is None else bucket)
+    w = Window.partitionBy(key, "_bucket").orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    local = base.withColumns(
+        {"_rn": F.row_number().over(w).cast("long"), "_end": F.lead(F.lit(False), 1, True).over(w)}
+        | {f"_sum_{o}": F.sum(c).over(upto) for o, c in sums.items()}
+        | {f"_lag_{o}": F.lag(c).over(w) for o, c in lags.items()}
+        | {f"_lead_{o}": F.lead(c).over(w) for o, c in leads.items()})
+    # one row per (key, bucket), from partial aggregates; wrapped in a struct so
+    # that a null value is told apart from no row
+    rank = F.struct(*order)
+    parts = base.groupBy(key, "_bucket").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c).alias(f"_part_{o}") for o, c in sums.items()],
+        *[F.max_by(F.struct(c), rank).alias(f"_last_{o}") for o, c in lags.items()],
+        *[F.min_by(F.struct(c), rank).alias(f"_first_{o}") for o, c in leads.items()])
+    runs = Window.partitionBy(key).orderBy("_bucket")
+    before = runs.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        F.col(key).alias("_key"), F.col("_bucket").alias("_at"), F.sum("_n").over(before).alias("_before"),
+        *[F.sum(f"_part_{o}").over(before).alias(f"_before_{o}") for o in sums],
+        *[F.lag(f"_last_{o}").over(runs).getField(c).alias(f"_edge_{o}") for o, c in lags.items()],
+        *[F.lead(f"_first_{o}").over(runs).getField(c).alias(f"_edge_{o}") for o, c in leads.items()])
+    j = local.join(parts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_at")))
+
+    def total(o: str, c: str) -> Column:
+        whole = isinstance(types[c], T.IntegralType)
+        here, gone = F.col(f"_sum_{o}"), F.col(f"_before_{o}")
+        return F.coalesce(here + gone, here, gone).cast("long" if whole else "double").alias(o)
+
+    return j.select(
+        *df.columns,
+        *([(F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("long").alias(row_number)] if row_number else []),
+        *[total(o, c) for o, c in sums.items()],
+        *[F.when(F.col("_rn") == 1, F.col(f"_edge_{o}")).otherwise(F.col(f"_lag_{o}")).alias(o) for o in lags],
+        *[F.when(F.col("_end"), F.col(f"_edge_{o}")).otherwise(F.col(f"_lead_{o}")).alias(o) for o in leads])

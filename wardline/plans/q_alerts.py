@@ -37,14 +37,14 @@ def _sql_msg(tmpl):
 
 
 def _reasons_sql(rule_set):
-    parts = [f"SELECT patient_id, vital, {i} AS rule, '{typ}' AS type, {_sql_msg(t)} AS msg FROM current "
+    parts = [f"SELECT patient_id, vital, {i} AS rule, '{typ}' AS type, {_sql_msg(t)} AS msg FROM current_now "
              f"WHERE {_sql_cond(vn, kind, op, thr)}"
              for i, (vn, kind, op, thr, typ, t) in enumerate(rule_set)]
     return "\nUNION ALL ".join(parts)
 
 
-add_fixture("reasons", ["current"], _reasons_sql(rules.DASHBOARD_ALERT_RULES))
-add_fixture("attention", ["current"], _reasons_sql(rules.ATTENTION_RULES))
+add_fixture("reasons", ["current_now"], _reasons_sql(rules.DASHBOARD_ALERT_RULES))
+add_fixture("attention", ["current_now"], _reasons_sql(rules.ATTENTION_RULES))
 add_fixture("alert_sum", ["reasons"], """
     SELECT patient_id, count(*) AS n_reasons,
            CASE WHEN max(CASE WHEN type = 'critical' THEN 1 ELSE 0 END) = 1 THEN 'critical' ELSE 'warning' END
@@ -63,7 +63,7 @@ def q_alert_reasons(spark, d):
 
 @register("alerts", W("""
     SELECT a.*, c.patient_age AS age, c.patient_gender AS gender, c.conditions
-    FROM alert_sum a JOIN context c USING (patient_id)""", "alert_sum", "context"))
+    FROM alert_sum a JOIN context_now c USING (patient_id)""", "alert_sum", "context_now"))
 def q_alerts(spark, d):
     s = al.alert_summary(reasons(spark, d))
     c = context(spark, d).select("patient_id", F.col("patient_age").alias("age"),
@@ -94,9 +94,9 @@ _PIVOT = ", ".join(
     SELECT c.patient_id, c.patient_age AS age, c.patient_gender AS gender, c.conditions, c.medications,
            c.condition_count, c.medication_count, p.* EXCLUDE (patient_id),
            t.risk_level, cast(t.risk_pct as double) AS risk_pct, t.readmit_probability
-    FROM context c
-    LEFT JOIN (SELECT patient_id, {_PIVOT} FROM current GROUP BY patient_id) p ON p.patient_id = c.patient_id
-    LEFT JOIN top_stay t ON t.patient_id = c.patient_id""", "context", "current", "top_stay"))
+    FROM context_now c
+    LEFT JOIN (SELECT patient_id, {_PIVOT} FROM current_now GROUP BY patient_id) p ON p.patient_id = c.patient_id
+    LEFT JOIN top_stay t ON t.patient_id = c.patient_id""", "context_now", "current_now", "top_stay"))
 def q_patient_list(spark, d):
     c = context(spark, d)
     c = c.withColumn("conditions", F.to_json("conditions")).withColumn("medications", F.to_json("medications"))
@@ -107,15 +107,15 @@ def q_patient_list(spark, d):
     SELECT patient_id, patient_age AS age, patient_gender AS gender, condition_count AS conditions_count,
            medication_count AS medications_count, vital_count > 0 AS has_vitals,
            cast(row_number() OVER (ORDER BY patient_id) as bigint) AS rank,
-           (SELECT count(*) FROM context) AS total_patients
-    FROM context ORDER BY patient_id LIMIT 50""", "context"))
+           (SELECT count(*) FROM context_now) AS total_patients
+    FROM context_now ORDER BY patient_id LIMIT 50""", "context_now"))
 def q_patient_list_small(spark, d):
     return al.patient_list_small(context(spark, d), 50)
 
 
 @register("source_impact", W("""
     , agg AS (SELECT count_if(vital_count > 0) AS csv, count_if(condition_count > 0) AS postgres,
-                     count_if(medication_count > 0) AS mysql, count(*) AS total_patients FROM context)
+                     count_if(medication_count > 0) AS mysql, count(*) AS total_patients FROM context_now)
     SELECT source, label, topic, data_type, patients_affected, total_patients,
            round(patients_affected / greatest(total_patients, 1) * 100, 1) AS impact_percentage
     FROM (SELECT 'csv' AS source, 'CSV Lab Export' AS label, 'patient-vitals' AS topic,
@@ -123,7 +123,7 @@ def q_patient_list_small(spark, d):
           UNION ALL SELECT 'postgres', 'PostgreSQL EHR', 'patient-conditions', 'conditions/diagnoses', postgres,
                  total_patients FROM agg
           UNION ALL SELECT 'mysql', 'MySQL Pharmacy', 'patient-medications', 'medications', mysql,
-                 total_patients FROM agg)""", "context"))
+                 total_patients FROM agg)""", "context_now"))
 def q_source_impact(spark, d):
     return al.source_impact(context(spark, d))
 

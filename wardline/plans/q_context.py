@@ -18,10 +18,35 @@ add_fixture("readings", ["enriched"], """
                    WHEN '8462-4' THEN 'diastolic_bp' WHEN '2708-6' THEN 'oxygen_saturation'
                    WHEN '9279-1' THEN 'respiratory_rate' WHEN '8310-5' THEN 'temperature' END AS vital
                    FROM enriched) WHERE vital IS NOT NULL""")
-add_fixture("history", ["readings"], """
+add_fixture("updates", ["readings", "conditions", "medications"], """
+    SELECT patient_id, ingest_ts AS t, 0 AS src, cast(rec_offset AS bigint) AS rec_offset FROM readings
+    UNION ALL SELECT patient_id, updated_at, 1, rec_offset FROM conditions WHERE coalesce(patient_id, '') <> ''
+    UNION ALL SELECT patient_id, updated_at, 2, rec_offset FROM medications WHERE coalesce(patient_id, '') <> ''""")
+add_fixture("numbered", ["updates"], """
+    SELECT *, sum(_new) OVER (PARTITION BY patient_id ORDER BY t, src, rec_offset
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode
+    FROM (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR epoch_us(t) - epoch_us(lag(t) OVER w) > 86400000000
+                         THEN 1 ELSE 0 END AS _new
+          FROM updates WINDOW w AS (PARTITION BY patient_id ORDER BY t, src, rec_offset))""")
+add_fixture("episodes", ["numbered"], """
+    SELECT patient_id, cast(episode as bigint) AS episode, min(t) AS started_at, max(t) AS last_update,
+           count(*) AS updates, max(t) + INTERVAL 86400 SECOND AS expires_at
+    FROM numbered GROUP BY patient_id, episode""")
+# each source's rows in the patient's newest episode
+for _name, _src, _all in (("doc_readings", 0, "readings"), ("doc_conditions", 1, "conditions"), ("doc_medications", 2, "medications")):
+    add_fixture(_name, ["numbered", _all], f"""
+    SELECT x.* FROM {_all} x JOIN (
+      SELECT patient_id, rec_offset FROM numbered
+      JOIN (SELECT patient_id, max(episode) AS episode FROM numbered GROUP BY patient_id) USING (patient_id, episode)
+      WHERE src = {_src}) USING (patient_id, rec_offset)""")
+add_fixture("live", ["episodes"], f"""
+    SELECT patient_id, episode, started_at, last_update, updates, expires_at
+    FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY episode DESC) AS _r FROM episodes)
+    WHERE _r = 1 AND expires_at >= TIMESTAMP '{AS_OF}'""")
+add_fixture("history", ["doc_readings"], """
     SELECT * FROM (SELECT patient_id, vital, rec_offset, value, "timestamp",
                    cast(row_number() OVER (PARTITION BY patient_id, vital ORDER BY rec_offset DESC) as integer) AS rn
-                   FROM readings) WHERE rn <= 10""")
+                   FROM doc_readings) WHERE rn <= 10""")
 add_fixture("trends", ["history"], """
     SELECT patient_id, vital,
            CASE WHEN isnan(_last - _first) THEN 'stable' WHEN _last - _first > 0 THEN 'rising'
@@ -32,10 +57,10 @@ add_fixture("trends", ["history"], """
     FROM (SELECT patient_id, vital, count(*) AS readings, arg_min(value, rec_offset) AS _first,
                  arg_max(value, rec_offset) AS _last
           FROM history GROUP BY patient_id, vital HAVING count(*) >= 2)""")
-add_fixture("latest", ["readings"], """
+add_fixture("latest", ["doc_readings"], """
     SELECT patient_id, vital, arg_max(value, rec_offset) AS value, arg_max(units, rec_offset) AS units,
            arg_max("timestamp", rec_offset) AS "timestamp", max(rec_offset) AS rec_offset
-    FROM readings GROUP BY patient_id, vital""")
+    FROM doc_readings GROUP BY patient_id, vital""")
 add_fixture("current", ["latest", "trends"], """
     SELECT l.patient_id, l.vital, l.value, l.units, l."timestamp", t.direction IS NOT NULL AS has_trend,
            coalesce(t.direction, 'stable') AS direction, coalesce(t.pct_change, 0.0) AS pct_change
@@ -45,12 +70,22 @@ add_fixture("lconds", ["conditions"], """
            arg_max(status, rec_offset) AS status, arg_max(severity, rec_offset) AS severity,
            min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
     FROM conditions WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, condition_name""")
+add_fixture("doc_lconds", ["doc_conditions"], """
+    SELECT patient_id, condition_name AS name, arg_max(condition_code, rec_offset) AS condition_code,
+           arg_max(status, rec_offset) AS status, arg_max(severity, rec_offset) AS severity,
+           min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
+    FROM doc_conditions WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, condition_name""")
 add_fixture("lmeds", ["medications"], """
     SELECT patient_id, medication_name AS name, arg_max(dosage, rec_offset) AS dosage,
            arg_max(frequency, rec_offset) AS frequency, arg_max(route, rec_offset) AS route,
            arg_max(status, rec_offset) AS status, min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
     FROM medications WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, medication_name""")
-add_fixture("context", ["readings", "lconds", "lmeds"], """
+add_fixture("doc_lmeds", ["doc_medications"], """
+    SELECT patient_id, medication_name AS name, arg_max(dosage, rec_offset) AS dosage,
+           arg_max(frequency, rec_offset) AS frequency, arg_max(route, rec_offset) AS route,
+           arg_max(status, rec_offset) AS status, min(rec_offset) AS first_offset, max(rec_offset) AS last_offset
+    FROM doc_medications WHERE coalesce(patient_id, '') <> '' GROUP BY patient_id, medication_name""")
+add_fixture("context", ["doc_readings", "doc_lconds", "doc_lmeds"], """
     SELECT coalesce(v.patient_id, c.patient_id, m.patient_id) AS patient_id,
            coalesce(v.patient_age, 0) AS patient_age, coalesce(v.patient_gender, '') AS patient_gender,
            coalesce(v.vital_count, 0) AS vital_count, coalesce(v.vital_readings, 0) AS vital_readings,
@@ -59,66 +94,87 @@ add_fixture("context", ["readings", "lconds", "lmeds"], """
     FROM (SELECT patient_id, arg_max(patient_age, rec_offset) AS patient_age,
                  arg_max(patient_gender, rec_offset) AS patient_gender, count(DISTINCT vital) AS vital_count,
                  count(*) AS vital_readings
-          FROM readings GROUP BY patient_id) v
+          FROM doc_readings GROUP BY patient_id) v
     FULL OUTER JOIN (SELECT patient_id, count(*) AS n, to_json(list(name ORDER BY first_offset))::varchar AS names
-                     FROM lconds GROUP BY patient_id) c ON v.patient_id = c.patient_id
+                     FROM doc_lconds GROUP BY patient_id) c ON v.patient_id = c.patient_id
     FULL OUTER JOIN (SELECT patient_id, count(*) AS n, to_json(list(name ORDER BY first_offset))::varchar AS names
-                     FROM lmeds GROUP BY patient_id) m ON coalesce(v.patient_id, c.patient_id) = m.patient_id""")
-add_fixture("episodes", ["readings"], """
-    SELECT patient_id, cast(episode as bigint) AS episode, min(ingest_ts) AS started_at,
-           max(ingest_ts) AS last_update, count(*) AS updates, max(ingest_ts) + INTERVAL 86400 SECOND AS expires_at
-    FROM (SELECT *, sum(_new) OVER (PARTITION BY patient_id ORDER BY ingest_ts, rec_offset
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS episode
-          FROM (SELECT patient_id, ingest_ts, rec_offset,
-                       CASE WHEN lag(ingest_ts) OVER w IS NULL
-                              OR epoch_us(ingest_ts) - epoch_us(lag(ingest_ts) OVER w) > 86400000000
-                            THEN 1 ELSE 0 END AS _new
-                FROM readings WINDOW w AS (PARTITION BY patient_id ORDER BY ingest_ts, rec_offset)))
-    GROUP BY patient_id, episode""")
-
-
+                     FROM doc_lmeds GROUP BY patient_id) m ON coalesce(v.patient_id, c.patient_id) = m.patient_id""")
+add_fixture("context_now", ["context", "live"], "SELECT * FROM context WHERE patient_id IN (SELECT patient_id FROM live)")
+add_fixture("current_now", ["current", "live"], "SELECT * FROM current WHERE patient_id IN (SELECT patient_id FROM live)")
 def readings(spark, d):
     return ctx.vital_readings(enriched(spark, d))
 
 
+def updates(spark, d):
+    return ctx.context_updates(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
+
+
+def starts(spark, d):
+    """The stored start of each patient's newest document."""
+    return fx.land(spark, d, "starts", lambda: ctx.document_starts(updates(spark, d)))
+
+
+def doc_sources(spark, d):
+    """The three sources without what expired."""
+    s = starts(spark, d)
+    return (ctx.in_document(readings(spark, d), s, "ingest_ts"), ctx.in_document(fx.landed(spark, d, "conditions"), s, "updated_at"),
+            ctx.in_document(fx.landed(spark, d, "medications"), s, "updated_at"))
+
+
+def doc_readings(spark, d):
+    return ctx.in_document(readings(spark, d), starts(spark, d), "ingest_ts")
+
+
 def context_compute(spark, d):
-    return ctx.patient_context(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
+    return ctx.patient_context(*doc_sources(spark, d))
 
 
 def current_compute(spark, d):
-    return ctx.current_vitals(readings(spark, d))
+    return ctx.current_vitals(doc_readings(spark, d))
+
+
+def seen(spark, d):
+    """The stored count of readings of every patient that any source has named,
+    expired or not."""
+    def build():
+        r = readings(spark, d)
+        ids = ctx.all_patients(r, fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
+        return ids.join(r.groupBy("patient_id").agg(F.count(F.lit(1)).alias("vital_readings")), "patient_id", "left")
+    return fx.land(spark, d, "seen", build)
 
 
-def _ctx_code():
-    from wardline.operators import context as c, ingest, sequence
-    from wardline.functions import scalar
-    return [c, ingest, sequence, scalar, fx]
+def live(spark, d):
+    """The stored documents that are alive at the reading time."""
+    return fx.land(spark, d, "live", lambda: ctx.context_live(ctx.context_episodes(updates(spark, d)), AS_OF))
 
 
 def context(spark, d):
     """The stored per-patient context table (what the streaming fold keeps),
-    built by ``patient_context`` once."""
-    return fx.land(spark, d, "context", lambda: context_compute(spark, d), _ctx_code())
+    built by ``patient_context`` once, without expired documents."""
+    stored = fx.land(spark, d, "context", lambda: context_compute(spark, d))
+    return stored.join(live(spark, d).select("patient_id"), "patient_id", "left_semi")
 
 
 def current(spark, d):
-    """Stored current vitals with trends (latest + trend per patient x vital)."""
-    return fx.land(spark, d, "current", lambda: current_compute(spark, d), _ctx_code())
+    """Stored current vitals with trends (latest + trend per patient x vital) of
+    the documents that are alive."""
+    stored = fx.land(spark, d, "current", lambda: current_compute(spark, d))
+    return stored.join(live(spark, d).select("patient_id"), "patient_id", "left_semi")
 
 
 @register("latest_vitals", W("SELECT * FROM latest", "latest"))
 def q_latest_vitals(spark, d):
-    return ctx.latest_vitals(readings(spark, d))
+    return ctx.latest_vitals(doc_readings(spark, d))
 
 
 @register("vitals_history", W("SELECT * FROM history", "history"))
 def q_vitals_history(spark, d):
-    return ctx.vitals_history(readings(spark, d))
+    return ctx.vitals_history(doc_readings(spark, d))
 
 
 @register("vital_trends", W("SELECT * FROM trends", "trends"))
 def q_vital_trends(spark, d):
-    return ctx.vital_trends(ctx.vitals_history(readings(spark, d)))
+    return ctx.vital_trends(ctx.vitals_history(doc_readings(spark, d)))
 
 
 @register("patient_summary", W("SELECT * FROM current", "current"))
@@ -161,22 +217,19 @@ def q_patient_context(spark, d):
 
 @register("patient_context_doc")
 def q_patient_context_doc(spark, d):
-    doc = ctx.context_document(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
+    doc = ctx.context_document(*doc_sources(spark, d))
     return doc.select("patient_id", "patient_age", "patient_gender",
                       *[F.to_json(c).alias(c) for c in ("vitals", "vitals_history", "conditions", "medications")])
 
 
 @register("context_episodes", W("SELECT * FROM episodes", "episodes"))
 def q_context_episodes(spark, d):
-    return ctx.context_episodes(readings(spark, d))
+    return ctx.context_episodes(updates(spark, d))
 
 
-@register("context_live", W(f"""
-    SELECT patient_id, episode, started_at, last_update, updates, expires_at
-    FROM (SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY episode DESC) AS _r FROM episodes)
-    WHERE _r = 1 AND expires_at >= TIMESTAMP '{AS_OF}'""", "episodes"))
+@register("context_live", W("SELECT * FROM live", "live"))
 def q_context_live(spark, d):
-    return ctx.context_live(ctx.context_episodes(readings(spark, d)), AS_OF)
+    return ctx.context_live(ctx.context_episodes(updates(spark, d)), AS_OF)
 
 
 @register("all_patients", W("""

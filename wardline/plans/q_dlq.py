@@ -48,8 +48,7 @@ def dlq_compute(spark, d):
 def dlq(spark, d):
     """The stored dead-letter log (what the DLQ topic holds), built once by
     ``dlq_records``; the analytics read it like the reference reads the topic."""
-    from wardline.functions import scalar
-    return fx.land(spark, d, "dlq", lambda: dlq_compute(spark, d), [ingest, scalar, fx])
+    return fx.land(spark, d, "dlq", lambda: dlq_compute(spark, d))
 
 
 def components(spark, d):

@@ -76,10 +76,10 @@ def q_system_status(spark, d):
            (SELECT count_if(status <> 'healthy') FROM src_status) AS sources_alerting
     FROM components""", "components", "pstats", "src_status", "readings", "conditions", "medications"))
 def q_system_health(spark, d):
-    # read model over the stored context (one row per patient seen by any
+    # read model over the stored counts (one row per patient seen by any
     # source) instead of re-running the vital validation twice
-    from wardline.plans.q_context import context
-    c = context(spark, d)
+    from wardline.plans.q_context import seen
+    c = seen(spark, d)
     total = c.agg(F.count(F.lit(1))).scalar()
     stats = c.agg(F.sum("vital_readings").cast("long").alias("vitals_processed")).select(
         "vitals_processed",

@@ -73,20 +73,14 @@ def risk_compute(spark, d):
     return rm.risk_fixture(spark, d)
 
 
-def _mart_code():
-    from wardline.operators import readmit, sequence
-    from wardline.functions import scalar
-    return [readmit, sequence, scalar, fx]
-
-
 def readm(spark, d):
     """The readmissions mart table (built by ``readmissions``, stored once)."""
-    return fx.land(spark, d, "readmissions", lambda: readm_compute(spark, d), _mart_code())
+    return fx.land(spark, d, "readmissions", lambda: readm_compute(spark, d))
 
 
 def risk(spark, d):
     """The scored-stays table (model output stand-in), stored once."""
-    return fx.land(spark, d, "risk", lambda: risk_compute(spark, d), _mart_code())
+    return fx.land(spark, d, "risk", lambda: risk_compute(spark, d))
 
 
 def risk_latest(spark, d):

@@ -106,10 +106,5 @@ HISTORY_LEN = 10
 DLQ_RING = 100
 
 
-def vitals_df(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        VITALS, "code string, description string, vital_key string, lo int, hi int")
-
-
 def retention_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RETENTION_DAYS, "topic string, retention_days int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,12 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster this setting must point at shared storage and is only read
-    here.  Only when it is unset (local tests) a scratch folder is created and
-    registered, so that ``DataFrame.checkpoint()``, streaming checkpoints and
-    landed tables have a home.  The RDD checkpoint folder is registered once.
+    here; without it this raises, for a machine's own folder would lose rows
+    unseen.  In local mode (tests) a scratch folder is created and registered,
+    so that ``DataFrame.checkpoint()``, streaming checkpoints and landed tables
+    have a home.  The RDD checkpoint folder is registered once.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="wardline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -8,16 +8,18 @@ for the oracle check.
 
 from __future__ import annotations
 
+import functools
 import hashlib
-import inspect
-import os
 import threading
+import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import rules
 from wardline.functions.scalar import patient_key
+from wardline.session import scratch_path
 from wardline.sources.tables import read_table
 
 # --- fixed values: fixture code book (k % 8 -> LOINC code, units, value rule)
@@ -166,7 +168,7 @@ def topic_log(spark: SparkSession, d: str) -> DataFrame:
     e = read_table(spark, d, "events").withColumn(
         "_tp", F.concat_ws("|", "event_type", (F.col("user_id") % 6).cast("string")))
     # a topic partition is a very large group: the offsets are numbered with
-    # the range-partitioned sequence primitive, not a one-task window
+    # the bucketed sequence primitive, not a one-task window
     e = sequence_ops(e, "_tp", ["event_id"], row_number="_rn")
     return e.select(
         F.col("event_type").alias("topic"),
@@ -184,53 +186,58 @@ def schema_versions(spark: SparkSession, d: str) -> DataFrame:
                     F.col("p_partkey").alias("id"), F.lit("AVRO").alias("schema_type"))
 
 
-def risk_scores_source(spark: SparkSession, d: str) -> DataFrame:
-    """The scored stays (model output stand-in); built by the readmission mart."""
-    from wardline.operators import readmit
-    return readmit.risk_fixture(spark, d)
-
-
-def vitals_rules(spark: SparkSession) -> DataFrame:
-    return rules.vitals_df(spark)
-
-
 # --- landed tables ---------------------------------------------------------
 # The projections above stand in for data that a deployment has already
 # landed (CSV exports, topic dumps, database extracts).  ``landed`` writes a
 # projection once as a parquet table in the shared checkpoint folder and
 # reads it back, so queries scan stored columns (with filter pushdown and
 # column pruning) instead of re-deriving them from the driver tables in every
-# plan.  The folder name carries a hash of the defining code and of the input
-# location, so a changed definition or input lands a new table.
+# plan.  The folder name carries a hash of this library's code (a table may
+# depend on any of its modules) and of the input files, so a changed definition
+# or input lands a new table.
 _LOCK = threading.RLock()
 
 
-def _fingerprint(fn, d: str) -> str:
-    src = inspect.getsource(fn) + inspect.getsource(_order_lines) + repr(FIXTURE_CODES) + d
-    for f in sorted(os.listdir(d)) if os.path.isdir(d) else []:
-        st = os.stat(os.path.join(d, f))
-        src += f"{f}:{st.st_size}:{int(st.st_mtime)}"
-    return hashlib.sha1(src.encode()).hexdigest()[:12]
+@functools.cache
+def code_fingerprint(root: str) -> str:
+    """Hash of the library's modules (the corpus operators stand apart)."""
+    h = hashlib.sha1()
+    for f in sorted(Path(root).rglob("*.py")):
+        name = f.relative_to(root).as_posix()
+        if not name.startswith("llm/"):
+            h.update(name.encode() + b"\0" + f.read_bytes())
+    return h.hexdigest()[:12]
+
+
+def input_fingerprint(spark: SparkSession, d: str) -> str:
+    """Hash of the names, sizes and times of all files under ``d``, as Spark's
+    file system for that path lists them."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(d)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()[:12]
 
 
 def landed(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return land(spark, d, name, lambda: globals()[name](spark, d), [globals()[name]])
+    return land(spark, d, name, lambda: globals()[name](spark, d))
 
 
-def land(spark: SparkSession, d: str, name: str, build, code: list) -> DataFrame:
-    """Write ``build()`` once as a parquet table under the checkpoint folder
-    and read it back; the folder name hashes ``code`` (functions / modules
-    that define the table) and the input location."""
-    from wardline.session import scratch_path
-    src = "".join(inspect.getsource(c) for c in code)
-    path = scratch_path(spark, f"landed/{name}-{_fingerprint(lambda: None, d)}-"
-                               f"{hashlib.sha1(src.encode()).hexdigest()[:10]}")
+def land(spark: SparkSession, d: str, name: str, build, root: str | None = None) -> DataFrame:
+    """Write ``build()`` once as a parquet table under the checkpoint folder and
+    read it back.  Only a completed write counts: the table is written aside and
+    renamed, so of two writers one wins and a write cut short is redone."""
+    root = root or str(Path(__file__).resolve().parent.parent)
+    path = scratch_path(spark, f"landed/{name}-{code_fingerprint(root)}-{input_fingerprint(spark, d)}")
     with _LOCK:
-        try:
-            # only a completed write (commit marker present) counts as landed;
-            # a write cut short by a lost executor or driver is redone
-            spark.read.text(f"{path}/_SUCCESS")
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - not landed yet
-            build().write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(target):
+            aside = f"{path}.{uuid.uuid4().hex}"
+            build().write.parquet(aside)
+            if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(aside), True)
+        return spark.read.parquet(path)
