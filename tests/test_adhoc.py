@@ -7,14 +7,25 @@ from wardline.operators.adhoc import adhoc_sql, is_read_only
     ("SELECT 1", True),
     ("with a as (select 1 x) select * from a", True),
     ("SELECT 'drop table x' AS s", True),           # keyword inside a literal
+    ("SELECT replace(name, 'a', 'b') FROM t", True),  # names that are also verbs
+    ("SELECT update, call, `set` FROM t -- drop table t", True),
+    ("SELECT 1;", True),
+    ("(SELECT 1) UNION ALL (SELECT 2) ORDER BY 1", True),
     ("WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", False),
+    ("INSERT INTO t VALUES (1)", False),
+    ("CREATE TABLE t AS SELECT 1", False),
+    ("MERGE INTO t USING s ON t.a = s.a WHEN MATCHED THEN DELETE", False),
     ("DROP TABLE t", False),
+    ("SET spark.sql.ansi.enabled = false", False),
+    ("CACHE TABLE t", False),
     ("SELECT 1; DELETE FROM t", False),
     ("SELECT 1; SELECT 2", False),
     ("update t set x = 1", False),
+    ("SELEC 1", False),
+    ("", False),
 ])
-def test_guard(sql, ok):
-    assert is_read_only(sql)[0] is ok
+def test_guard(spark, sql, ok):
+    assert is_read_only(spark, sql)[0] is ok
 
 
 def test_adhoc_caps_and_errors(spark):

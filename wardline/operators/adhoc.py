@@ -1,45 +1,36 @@
 """Read-only ad-hoc SQL over the registered views, and catalog listing.
 
 The guard runs before ``spark.sql``: Spark executes commands (DDL/DML) eagerly
-when the statement is analysed, so a read-only check after the fact would
-be too late.  It accepts a single statement that starts with SELECT or WITH
-and contains no write keyword outside string literals and comments (this
-also closes the ``WITH ... INSERT`` hole of a first-word check).
+when the statement is analysed, so a read-only check after the fact would be too
+late.  The statement is only parsed, and refused if its plan holds a command or a
+statement that writes; names and literals never count.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# --- fixed values: statement verbs that change state ----------------------
-WRITE_WORDS = {
-    "insert", "update", "delete", "merge", "drop", "create", "alter", "truncate", "grant", "revoke",
-    "replace", "copy", "call", "load", "refresh", "cache", "uncache", "msck", "analyze", "set", "reset",
-    "use", "add", "export", "import", "put", "remove", "undrop", "comment", "vacuum", "optimize",
-}
 RESULT_CAP = 100
+# plan nodes that do something other than read
+_COMMANDS = ("Command", "ParsedStatement")
 
-_LITERALS = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/", re.S)
-
-
-def _strip(sql: str) -> str:
-    return _LITERALS.sub(" ", sql)
 
-
-def is_read_only(sql: str) -> tuple[bool, str]:
-    body = _strip(sql)
-    stmts = [s for s in body.split(";") if s.strip()]
-    if len(stmts) != 1:
-        return False, "exactly one statement is allowed"
-    words = re.findall(r"[A-Za-z_][A-Za-z0-9_]*", stmts[0].lower())
-    if not words or words[0] not in ("select", "with"):
-        return False, "only SELECT / WITH queries are allowed"
-    bad = sorted(set(words) & WRITE_WORDS)
-    if bad:
-        return False, f"write keyword not allowed: {bad[0]}"
+def is_read_only(spark: SparkSession, sql: str) -> tuple[bool, str]:
+    """Whether ``sql`` is one query, and why not (the parser's whole message if it
+    can't be parsed)."""
+    try:
+        todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+    except Exception as e:  # noqa: BLE001 - errors are data for the caller
+        return False, str(e)
+    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    kinds = [loader.loadClass(f"org.apache.spark.sql.catalyst.plans.logical.{c}") for c in _COMMANDS]
+    while todo:
+        node = todo.pop()
+        if any(k.isInstance(node) for k in kinds):
+            return False, f"only queries are allowed, not {node.nodeName()}"
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
     return True, ""
 
 
@@ -47,13 +38,13 @@ def adhoc_sql(spark: SparkSession, sql: str, limit: int = RESULT_CAP) -> DataFra
     """Run a read-only query; rows come back as JSON text (values that have
     no JSON type are written as strings), at most ``limit`` rows.  A refused
     or failing query comes back as a one-row ``error`` result."""
-    ok, why = is_read_only(sql)
+    ok, why = is_read_only(spark, sql)
     if not ok:
         return spark.createDataFrame([(why,)], "error string")
     try:
         df = spark.sql(sql)
     except Exception as e:  # noqa: BLE001 - errors are data for the caller
-        return spark.createDataFrame([(str(e).splitlines()[0][:500],)], "error string")
+        return spark.createDataFrame([(str(e),)], "error string")
     return df.limit(limit).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row_json"))
 
 

@@ -90,18 +90,20 @@ def attention_top(reasons: DataFrame, n: int = 20) -> DataFrame:
 
 def patient_list(context: DataFrame, current: DataFrame, risk: DataFrame | None = None) -> DataFrame:
     """Patient list rows: demographics, condition/medication names and
-    counts, per-vital value / trend / pct (pivot over the six known vitals in
-    one aggregation) and the patient's risk score (left join)."""
+    counts, time of the last update, per-vital value / units / trend / pct (pivot
+    over the six known vitals in one aggregation) and the patient's risk score
+    (left join), in the order of the patient ids (a range sort)."""
     names = [v[2] for v in rules.VITALS]
     piv = current.groupBy(KEY).pivot("vital", names).agg(
-        F.first("value").alias("value"), F.first("direction").alias("trend"),
+        F.first("value").alias("value"), F.first("units").alias("units"), F.first("direction").alias("trend"),
         F.first("pct_change").alias("pct"))
     out = context.select(KEY, F.col("patient_age").alias("age"), F.col("patient_gender").alias("gender"),
-                         "conditions", "medications", "condition_count", "medication_count") \
+                         "conditions", "medications", "condition_count", "medication_count",
+                         F.col("last_update").alias("last_updated")) \
         .join(piv, KEY, "left")
     if risk is not None:
         out = out.join(risk.select(KEY, "risk_level", "risk_pct", "readmit_probability"), KEY, "left")
-    return out
+    return out.orderBy(KEY)
 
 
 def patient_list_small(context: DataFrame, n: int = 50) -> DataFrame:
@@ -147,7 +149,8 @@ def action_queue(summary: DataFrame, risk: DataFrame, w_critical: float = 50.0,
                  max_reasons: int = 5, w_risk: float = 0.5) -> DataFrame:
     """Acute alerts merged with chronic risk (full outer join on patient):
     a patient qualifies with an alert or a HIGH/CRITICAL level; score =
-    w_critical*critical + w_reason*min(reasons, max_reasons) + w_risk*risk_pct."""
+    w_critical*critical + w_reason*min(reasons, max_reasons) + w_risk*risk_pct,
+    highest first."""
     j = summary.join(risk.select(KEY, "risk_level", "risk_pct"), KEY, "full_outer")
     n = F.coalesce(F.col("n_reasons"), F.lit(0))
     sev = F.coalesce(F.col("severity"), F.lit("none"))
@@ -161,4 +164,4 @@ def action_queue(summary: DataFrame, risk: DataFrame, w_critical: float = 50.0,
     return j.where((n > 0) | elevated).select(
         KEY, n.cast("long").alias("n_reasons"), sev.alias("severity"), "risk_level",
         F.col("risk_pct").cast("double").alias("risk_pct"), F.round(score, 2).alias("score"),
-        action.alias("action"))
+        action.alias("action")).orderBy(F.desc("score"), KEY)

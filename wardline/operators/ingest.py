@@ -20,13 +20,15 @@ from wardline.functions.scalar import age_years, parse_birthdate, parse_iso_date
 def patients_dim(patients: DataFrame, order_col: str | None = None) -> DataFrame:
     """Demographics keyed by ``Id``; the last row of a duplicated Id wins.
 
-    "Last" is ``order_col`` when given, else the scan position
-    (``monotonically_increasing_id`` grows with file order).  ``max_by`` is a
-    partial aggregate, so duplicates are folded map-side before the shuffle.
+    "Last" is ``order_col`` when given, else the greatest (file name, position in
+    the file): Spark packs files into tasks by size, so a running id alone does
+    not follow their order.  ``max_by`` is a partial aggregate, so duplicates are
+    folded map-side before the shuffle.
     As the static side of a stream-static join, materialise the result once
     (``.checkpoint()`` into ``spark.checkpoint.dir``).
     """
-    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    order = F.col(order_col) if order_col else F.struct(
+        F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
     cols = [c for c in patients.columns if c != "Id"]
     agg = patients.withColumn("_ord", order).groupBy("Id").agg(
         F.max_by(F.struct(*cols), F.col("_ord")).alias("_r"))

@@ -68,7 +68,7 @@ def q_alerts(spark, d):
     s = al.alert_summary(reasons(spark, d))
     c = context(spark, d).select("patient_id", F.col("patient_age").alias("age"),
                                  F.col("patient_gender").alias("gender"), F.to_json("conditions").alias("conditions"))
-    return s.join(c, "patient_id")
+    return s.join(c, "patient_id").orderBy(F.desc("n_reasons"), "severity", "patient_id")  # critical before warning
 
 
 @register("attention_reasons", W("SELECT patient_id, vital, rule, msg FROM attention", "attention"))
@@ -86,13 +86,13 @@ def q_attention_top20(spark, d):
 
 
 _PIVOT = ", ".join(
-    f"max(value) FILTER (WHERE vital = '{v}') AS {v}_value, max(direction) FILTER (WHERE vital = '{v}') AS {v}_trend, "
+    f"max(value) FILTER (WHERE vital = '{v}') AS {v}_value, max(units) FILTER (WHERE vital = '{v}') AS {v}_units, max(direction) FILTER (WHERE vital = '{v}') AS {v}_trend, "
     f"max(pct_change) FILTER (WHERE vital = '{v}') AS {v}_pct" for v in [x[2] for x in rules.VITALS])
 
 
 @register("patient_list", W(f"""
     SELECT c.patient_id, c.patient_age AS age, c.patient_gender AS gender, c.conditions, c.medications,
-           c.condition_count, c.medication_count, p.* EXCLUDE (patient_id),
+           c.condition_count, c.medication_count, c.last_update AS last_updated, p.* EXCLUDE (patient_id),
            t.risk_level, cast(t.risk_pct as double) AS risk_pct, t.readmit_probability
     FROM context_now c
     LEFT JOIN (SELECT patient_id, {_PIVOT} FROM current_now GROUP BY patient_id) p ON p.patient_id = c.patient_id

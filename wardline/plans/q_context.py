@@ -99,7 +99,7 @@ add_fixture("context", ["doc_readings", "doc_lconds", "doc_lmeds"], """
                      FROM doc_lconds GROUP BY patient_id) c ON v.patient_id = c.patient_id
     FULL OUTER JOIN (SELECT patient_id, count(*) AS n, to_json(list(name ORDER BY first_offset))::varchar AS names
                      FROM doc_lmeds GROUP BY patient_id) m ON coalesce(v.patient_id, c.patient_id) = m.patient_id""")
-add_fixture("context_now", ["context", "live"], "SELECT * FROM context WHERE patient_id IN (SELECT patient_id FROM live)")
+add_fixture("context_now", ["context", "live"], "SELECT c.*, l.last_update FROM context c JOIN live l USING (patient_id)")
 add_fixture("current_now", ["current", "live"], "SELECT * FROM current WHERE patient_id IN (SELECT patient_id FROM live)")
 def readings(spark, d):
     return ctx.vital_readings(enriched(spark, d))
@@ -150,9 +150,10 @@ def live(spark, d):
 
 def context(spark, d):
     """The stored per-patient context table (what the streaming fold keeps),
-    built by ``patient_context`` once, without expired documents."""
+    built by ``patient_context`` once, without expired documents and with the
+    time of the last update."""
     stored = fx.land(spark, d, "context", lambda: context_compute(spark, d))
-    return stored.join(live(spark, d).select("patient_id"), "patient_id", "left_semi")
+    return stored.join(live(spark, d).select("patient_id", "last_update"), "patient_id")
 
 
 def current(spark, d):

@@ -124,11 +124,16 @@ def q_risk_publish(spark, d):
 
 
 @register("risk_decode", W("""
-    SELECT "key", rec_offset, patient_id, risk_level, cast(risk_pct as double) AS risk_pct,
-           readmit_probability, '""" + rules.RISK_SOURCE + """' AS source, false AS _corrupt
-    FROM risk_msgs JOIN top_stay ON top_stay.patient_id = risk_msgs."key" """, "risk_msgs", "top_stay"))
+    SELECT "key", rec_offset, CASE WHEN ok THEN patient_id END AS patient_id, CASE WHEN ok THEN risk_level END AS risk_level,
+           CASE WHEN ok THEN cast(risk_pct as double) END AS risk_pct,
+           CASE WHEN ok THEN readmit_probability END AS readmit_probability,
+           CASE WHEN ok THEN '""" + rules.RISK_SOURCE + """' END AS source, NOT ok AS _corrupt
+    FROM (SELECT *, rec_offset % 10 <> 0 AS ok FROM risk_msgs JOIN top_stay ON top_stay.patient_id = risk_msgs."key")""",
+                               "risk_msgs", "top_stay"))
 def q_risk_decode(spark, d):
+    """Every tenth message arrives broken and goes to the error branch."""
     msgs = rm.risk_messages(rm.top_risk_stay(risk(spark, d)))
+    msgs = msgs.withColumn("value", F.when(F.col("rec_offset") % 10 == 0, F.concat(F.lit("not json "), "value")).otherwise(F.col("value")))
     return stream.decode_json(msgs, stream.RISK_MESSAGE)
 
 

@@ -113,13 +113,15 @@ def value_to_key(df: DataFrame, field: str, key_col: str = "key") -> DataFrame:
 
 
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Permissive JSON decode; unparseable messages land in ``_corrupt``
-    (the error branch) instead of failing the batch."""
-    parsed = F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"})
+    """Permissive JSON decode; unparseable messages are marked ``_corrupt`` (the
+    error branch) instead of failing the batch.  A null message is not corrupt."""
+    bad = "_corrupt_record"
+    marked = T.StructType([*schema.fields, T.StructField(bad, T.StringType())])
+    parsed = F.from_json(F.col(value_col), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
     keep = [c for c in df.columns if c != value_col]
     out = df.select(*keep, F.col(value_col), parsed.alias("_p"))
     return out.select(*keep, *[F.col("_p")[f.name].alias(f.name) for f in schema.fields],
-                      (F.col("_p").isNull() & F.col(value_col).isNotNull()).alias("_corrupt"))
+                      (F.col("_p")[bad].isNotNull() | (F.col("_p").isNull() & F.col(value_col).isNotNull())).alias("_corrupt"))
 
 
 def stream_source(spark: SparkSession, kind: str, schema: T.StructType | None = None, **opts) -> DataFrame:
