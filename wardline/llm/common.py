@@ -227,46 +227,36 @@ def sieve(rows: DataFrame, column: str, keys: DataFrame, inside: bool = True) ->
     return marked.where(on == (1 if inside else 0)).select(*rows.columns)
 
 
-def band_components(bands: DataFrame, sizes: DataFrame | None, threshold: int, check, name: str, rest=None) -> DataFrame:
+def band_components(bands: DataFrame, check, name: str, rest=None) -> DataFrame:
     """Components of the links that ``check(pairs(a, b))`` confirms among ids that
     share a band: ``(node, root)`` as ``components`` gives them.
 
-    ``bands(band, id)`` and ``sizes(id, n)``, if any: pairs whose smaller size is
-    under ``threshold`` percent of the larger are never linked.  Without sizes
-    ``check`` sees every id that shares a band in its first call.  Each band's smallest
-    and largest id are compared with its other ids; then ids of a band that are
-    still in different components are compared with one another.  So pairs within
-    a component, of which a large group has many, are not made, and no link
-    between components is missed.  Bands are only aggregated and joined, never
-    gathered.  ``rest(apart(band, id, root, n))`` may name the pairs between
-    components that are worth a check; without it they are all joined.
+    Each band's smallest and largest id are compared with its other ids; then ids
+    of a band that are still in different components are compared with one
+    another.  So pairs within a component, of which a large group has many, are
+    not made, and no link between components is missed.  Bands are only aggregated
+    and joined, never gathered.  ``rest(apart(band, id, root))`` may confirm the
+    links between components instead; else all pairs are joined and checked.
+    ``check`` sees every id that shares a band in its first call.
     """
     shared = store(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), f"{name}-shared")
     held = store(sieve(bands, "band", shared.select("band")).join(shared.select("band"), "band", "left_semi").select("band", "id"), f"{name}-held")
-
-    def fitting(pairs: DataFrame) -> DataFrame:
-        if sizes is None:
-            return pairs
-        a, b = (sizes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}")) for c in ("a", "b"))
-        return pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold).select("a", "b")
-
     ends = held.join(shared, "band")
     stars = ends.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).unionAll(
         ends.where("id > low and id < high").select(F.col("id").alias("a"), F.col("high").alias("b")))
-    first = store(fitting(stars.distinct()), f"{name}-stars")
+    first = store(stars.distinct(), f"{name}-stars")
     links = store(check(first), f"{name}-links")
     found = components(links, f"{name}-first")
     label = held.join(found.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
     split = label.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("band")
-    apart = label.join(split, "band", "left_semi")
-    apart = store(apart.withColumn("n", F.lit(1)) if sizes is None else apart.join(sizes, "id").select("band", "id", "root", "n"), f"{name}-apart")
+    apart = store(label.join(split, "band", "left_semi"), f"{name}-apart")
     if rest is None:
         l, r = apart.alias("l"), apart.alias("r")
-        pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root"))
-                       & (F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * threshold)).select(F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+        pairs = l.join(r, (F.col("l.band") == F.col("r.band")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.root") != F.col("r.root")))
+        pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+        more = check(store(pairs, f"{name}-rest"))
     else:
-        pairs = rest(apart)
-    more = check(store(pairs.distinct().join(first, ["a", "b"], "left_anti"), f"{name}-rest"))
+        more = rest(apart)
     return components(links.unionAll(more), f"{name}-all")
 
 

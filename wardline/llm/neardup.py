@@ -24,7 +24,7 @@ SHINGLE = 5
 #: stays empty because its minimum lies beyond the truncation.
 REGISTERS, ROWS, BASE, BEYOND = 256, 8, 1.02, 1e-4
 #: Standard errors that an estimate may lie under the threshold.
-MARGIN = 4.5
+MARGIN = 4.0
 
 #: Words ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z; byte 0 is a letter here.
 _WORD = byte_table(b"")
@@ -75,7 +75,8 @@ def registers(sets: list[np.ndarray], m: int = REGISTERS, base: float = BASE) ->
 
 def _likelihood_filter(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, threshold: float, base: float = BASE) -> np.ndarray:
     """Which pairs of register rows may have a similarity of ``threshold``: the
-    maximum of the joint likelihood is not MARGIN standard errors below it."""
+    sizes allow it and the maximum of the joint likelihood is not MARGIN standard
+    errors below it."""
     u, v = na / (na + nb), nb / (na + nb)
     more, less = (a > b).sum(1), (a < b).sum(1)
     same = a.shape[1] - more - less
@@ -91,7 +92,7 @@ def _likelihood_filter(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndar
     ll[grid[None, :] > np.minimum(u / v, v / u)[:, None] + 1e-9] = -np.inf
     best = grid[np.nan_to_num(ll, nan=-np.inf).argmax(1)]
     error = math.sqrt(threshold * (1 - threshold) / a.shape[1])
-    return best >= threshold - MARGIN * error
+    return (best >= threshold - MARGIN * error) & (np.minimum(na, nb) >= np.maximum(na, nb) * (threshold - 1e-9))
 
 
 def sketch(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -119,7 +120,7 @@ def _bands(classes: DataFrame, rows: int = ROWS) -> DataFrame:
     return classes.select("id", F.explode(keys).alias("band"))
 
 
-def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def _estimate(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """The pairs ``(a, b)`` whose registers allow the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +128,7 @@ def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
                 part = batch.slice(lo, 1000)
                 ra, rb = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(len(part), -1) for c in (4, 5))
                 na, nb = (part.column(c).to_numpy().astype(float) for c in (2, 3))
-                keep = pa.array(_likelihood_filter(ra, rb, na, nb, threshold))
+                keep = pa.array(_likelihood_filter(ra, rb, na, nb, threshold / 100))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(keep)
 
     a = classes.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
@@ -136,63 +137,96 @@ def _estimate(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFra
     return both.transform(in_arrow, run, "a long, b long")
 
 
-def _likely_in_blocks(apart: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs ``(a, b)`` of one band and two components whose sizes and registers
-    allow the threshold, each found in the first band that both are in.  Bands are
-    compared in blocks inside tasks, so unlikely pairs are never rows."""
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(t: pa.Table, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a group, a band's or two of its blocks', in different
+    components whose sizes and registers allow the threshold and that share no
+    earlier band."""
+    x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
+    own, root, n = (t.column(c).to_numpy() for c in ("own", "root", "n"))
+    n = n.astype(np.int64)
+    regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(len(t), -1)
+    bands = regs.reshape(len(t), -1, ROWS)
+    here = int((bands == bands[:1]).all(2).all(0).argmax())
+    for lo in range(0, len(t), 64):
+        i, j = ((root[lo:lo + 64, None] != root[None, :]) & (100 * np.minimum(n[lo:lo + 64, None], n) >= threshold * np.maximum(n[lo:lo + 64, None], n))).nonzero()
+        i += lo
+        keep = i < j if x == y else (own[i] == x) & (own[j] == y)
+        i, j = i[keep], j[keep]
+        if here:
+            keep = ~(bands[i, :here] == bands[j, :here]).all(2).any(1)
+            i, j = i[keep], j[keep]
+        if len(i):
+            near = _likelihood_filter(regs[i], regs[j], n[i].astype(float), n[j].astype(float), threshold / 100)
+            yield i[near], j[near]
+
+
+def _link_apart(apart: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
+    """Links ``(a, b)`` between components among classes of one band.
+
+    Bands are compared in blocks inside tasks, first by registers to find the
+    classes that are in any likely pair, then those with their full sets; only
+    links become rows, never pairs that are merely likely."""
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in groups(batches, ["band", "x", "y"]):
-            x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
-            own, ids, root, n = (t.column(c).to_numpy() for c in ("own", "id", "root", "n"))
-            regs = np.frombuffer(b"".join(t.column("regs").to_pylist()), np.uint16).reshape(len(t), -1)
-            bands = regs.reshape(len(t), -1, ROWS)
-            here = int((bands == bands[:1]).all(2).all(0).argmax())
-            for lo in range(0, len(t), 64):
-                i, j = ((root[lo:lo + 64, None] != root[None, :]) & (100 * np.minimum(n[lo:lo + 64, None], n) >= threshold * np.maximum(n[lo:lo + 64, None], n))).nonzero()
-                i += lo
-                keep = i < j if x == y else (own[i] == x) & (own[j] == y)
-                i, j = i[keep], j[keep]
-                if here:
-                    keep = ~(bands[i, :here] == bands[j, :here]).all(2).any(1)
-                    i, j = i[keep], j[keep]
-                if len(i):
-                    near = _likelihood_filter(regs[i], regs[j], n[i].astype(float), n[j].astype(float), threshold / 100)
-                    a, b = ids[i[near]], ids[j[near]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    rows = in_blocks(apart, ["band"], "id").join(classes.select("id", "regs"), "id")
-    return dealt(rows.select("band", "x", "y", "own", "id", "root", "n", "regs"), ["band"]).transform(in_arrow, compare, "a long, b long")
+            on = np.zeros(len(t), bool)
+            for i, j in _likely(t, threshold):
+                on[i] = on[j] = True
+            if on.any():
+                yield from t.select(["band", "id", "root"]).filter(pa.array(on)).to_batches()
 
-
-def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
-    """The pairs with 100 * intersection >= threshold * union on the full sets,
-    made anew from the texts of the documents in a pair.  Sets travel as 5-byte
-    hashes: a set of n has a false match with chance n * n / 2^40."""
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in groups(batches, ["band", "x", "y"]):
+            sets = [_unpack(s) for s in t.column("s").to_pylist()]
+            ids = t.column("id").to_numpy()
+            for i, j in _likely(t, threshold):
+                keep = np.array([_similar(sets[p], sets[q], threshold) for p, q in zip(i.tolist(), j.tolist(), strict=True)], bool)
+                a, b = ids[i[keep]], ids[j[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    cols = ["band", "x", "y", "own", "id", "root", "n", "regs"]
+    rows = in_blocks(apart, ["band"], "id").join(classes, "id").select(cols)
+    likely = store(dealt(rows, ["band"]).transform(in_arrow, members, "band long, id long, root long").distinct(), "near-likely-members")
+    sets = _sets(likely.select("id").distinct(), docs, key, text)
+    rows = in_blocks(likely, ["band"], "id").join(classes, "id").join(sets, "id").select(*cols, "s")
+    return dealt(rows, ["band"]).transform(in_arrow, links, "a long, b long").distinct()
+
+
+def _unpack(s: bytes) -> np.ndarray:
+    """A set from its 5-byte hashes."""
+    out = np.zeros((len(s) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(s, np.uint8).reshape(-1, 5)
+    return out.view("<u8")[:, 0]
+
+
+def _similar(p: np.ndarray, q: np.ndarray, threshold: int) -> bool:
+    x = np.sort(np.concatenate((p, q)))
+    both = int(np.count_nonzero(x[1:] == x[:-1]))
+    return 100 * both >= threshold * (len(p) + len(q) - both)
+
+
+def _sets(wanted: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(id, s)``: the full sets of the documents ``wanted(id)``, made anew from
+    their texts.  Sets travel as 5-byte hashes: two of n have a false match with
+    chance n * n / 2^40."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in chunks(batch, "text"):
-                out = [np.sort(x >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for x in shingle_sets(data, offs)]
+                out = [np.unique(x >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for x in shingle_sets(data, offs)]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(out, pa.binary())], names=["id", "s"])
 
-    def hashes(s: bytes) -> np.ndarray:
-        out = np.zeros((len(s) // 5, 8), np.uint8)
-        out[:, :5] = np.frombuffer(s, np.uint8).reshape(-1, 5)
-        return out.view("<u8")[:, 0]
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    own = sieve(texts, "id", wanted).transform(in_arrow, sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s"))
+    return store(own.join(wanted, "id", "left_semi"), "shingle-sets")
 
+
+def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
+    """The pairs with 100 * intersection >= threshold * union on the full sets."""
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = hashes(x.as_py()), hashes(y.as_py())
-                both = len(p) + len(q) - len(np.unique(np.concatenate((p, q))))
-                keep.append(100 * both >= threshold * (len(p) + len(q) - both))
+            keep = [_similar(_unpack(x.as_py()), _unpack(y.as_py()), threshold) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    own = (sieve(texts, "id", wanted)
-           .transform(in_arrow, sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s")))
-    own = store(own.join(wanted, "id", "left_semi"), "shingle-sets")
+    own = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, key, text)
     return (pairs.join(own.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             .join(own.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b").select("a", "b", "sa", "sb").transform(in_arrow, test, "a long, b long"))
 
@@ -213,10 +247,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     classes = store(rows.join(member.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "regs"), "classes")
 
     def check(pairs: DataFrame) -> DataFrame:
-        near = store(_estimate(pairs, classes, threshold / 100), "likely")
+        near = store(_estimate(pairs, classes, threshold), "near-likely")
         return _verify(near, docs, key, text, threshold)
 
-    roots = band_components(_bands(classes), classes.select("id", "n"), threshold, check, "near", lambda apart: _likely_in_blocks(apart, classes, threshold))
+    roots = band_components(_bands(classes), check, "near", lambda apart: _link_apart(apart, classes, docs, key, text, threshold))
     whole = (rows.join(member, ["digest", "n"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", "n", F.coalesce("root", "rep", "id").alias("component_id")))
     return whole.select(F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id",
