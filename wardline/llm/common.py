@@ -240,7 +240,8 @@ def band_components(bands: DataFrame, check, name: str, rest=None) -> DataFrame:
     ``check`` sees every id that shares a band in its first call.
     """
     shared = store(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), f"{name}-shared")
-    held = store(sieve(bands, "band", shared.select("band")).join(shared.select("band"), "band", "left_semi").select("band", "id"), f"{name}-held")
+    # an inner join: a semi join would be moved below the sieve
+    held = store(sieve(bands, "band", shared.select("band")).join(shared.select("band"), "band").select("band", "id"), f"{name}-held")
     ends = held.join(shared, "band")
     stars = ends.where("id > low").select(F.col("low").alias("a"), F.col("id").alias("b")).unionAll(
         ends.where("id > low and id < high").select(F.col("id").alias("a"), F.col("high").alias("b")))

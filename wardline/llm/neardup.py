@@ -216,7 +216,7 @@ def _sets(wanted: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
 
     texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     own = sieve(texts, "id", wanted).transform(in_arrow, sets, "id long, s binary").groupBy("id").agg(F.max_by("s", F.length("s")).alias("s"))
-    return store(own.join(wanted, "id", "left_semi"), "shingle-sets")
+    return store(own.join(wanted, "id"), "shingle-sets")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
