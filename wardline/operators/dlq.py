@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wardline import rules
 from wardline.functions.scalar import category
+from wardline.operators.sequence import sequence_ops
 
 
 def ring(dlq: DataFrame, n: int | None) -> DataFrame:
@@ -37,13 +38,34 @@ def dlq_recent(dlq: DataFrame, n: int = rules.DLQ_RING) -> DataFrame:
 
 
 def by_category(dlq: DataFrame, trim: bool = False, last_n: int | None = None) -> DataFrame:
-    """Errors per category (text before the first ':'), most frequent first."""
-    from pyspark.sql import Window
+    """Errors per category (text before the first ':'), most frequent first.
+
+    A reason without a colon is a category of its own, so there may be many: the
+    rank is numbered bucket by bucket (count, first letter), not in one task."""
     g = ring(dlq, last_n).groupBy(category(F.coalesce("error_reason", F.lit("unknown")), trim).alias("category")) \
         .agg(F.count(F.lit(1)).alias("errors"))
-    # the category set is small (one row per reason prefix), so ranking it
-    # in one task is cheap
-    return g.withColumn("rank", F.row_number().over(Window.orderBy(F.col("errors").desc(), "category")).cast("long"))
+    g = g.withColumns({"_all": F.lit(0), "_less": -F.col("errors")})
+    ranked = sequence_ops(g, "_all", ["_less", "category"], row_number="rank",
+                          bucket=F.col("_less") * 0x110000 + F.ascii("category"))
+    return ranked.select("category", "errors", "rank")
+
+
+def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
+    """Errors by category, source, intended topic and, where records name one,
+    failed field in one pass (grouping sets), long format ``(dimension, value,
+    errors)``."""
+    dims = {"category": category(F.coalesce("error_reason", F.lit("unknown")), trim=True),
+            "source_system": F.coalesce("source_system", F.lit("unknown")),
+            "topic_intended": F.coalesce("topic_intended", F.lit("unknown"))}
+    if "field" in dlq.columns:
+        dims["field"] = F.col("field")
+    names = list(dims)
+    d = ring(dlq, last_n).select(*[c.alias(n) for n, c in dims.items()])
+    g = d.groupingSets([[n] for n in names], *names).agg(F.count(F.lit(1)).alias("errors"), F.grouping_id().alias("_g"))
+    whole = (1 << len(names)) - 1
+    dim = F.coalesce(*[F.when(F.col("_g") == whole - (1 << (len(names) - 1 - i)), n) for i, n in enumerate(names)])
+    # a record without a field is in no field's count
+    return g.select(dim.alias("dimension"), F.coalesce(*names).alias("value"), "errors").where("value is not null")
 
 
 def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:

@@ -47,8 +47,13 @@ def list_rows_per_key(log: DataFrame, key: str, cols: list[str], order_col: str,
     splits a hot key's partition otherwise), so a key holding a third of all
     messages is never gathered into one task or one row.
     """
-    agg = log.groupBy(key).agg(F.count(F.lit(1)).alias(count_name), F.max(ts_col).alias(last_name))
-    return log.select(key, order_col, *cols).join(agg, key)
+    return log.select(key, order_col, *cols).join(per_key(log, key, ts_col, count_name, last_name), key)
+
+
+def per_key(log: DataFrame, key: str, ts_col: str, count_name: str, last_name: str = "last_updated") -> DataFrame:
+    """One row per key: COUNT(*) and MAX(ts).  The list itself is the long form
+    of ``list_rows_per_key``, so no key's messages meet in one row."""
+    return log.groupBy(key).agg(F.count(F.lit(1)).alias(count_name), F.max(ts_col).alias(last_name))
 
 
 def conditions_rows(conditions: DataFrame) -> DataFrame:

@@ -31,6 +31,20 @@ def q_medications_latest(spark, d):
     return tables.medications_rows(fx.landed(spark, d, "medications"))
 
 
+@register("conditions_per_patient", W("""
+    SELECT patient_id, count(*) AS condition_count, max(updated_at) AS last_updated
+    FROM conditions GROUP BY patient_id""", "conditions"))
+def q_conditions_per_patient(spark, d):
+    return tables.per_key(fx.landed(spark, d, "conditions"), "patient_id", "updated_at", "condition_count")
+
+
+@register("medications_per_patient", W("""
+    SELECT patient_id, count(*) AS medication_count, max(updated_at) AS last_updated
+    FROM medications GROUP BY patient_id""", "medications"))
+def q_medications_per_patient(spark, d):
+    return tables.per_key(fx.landed(spark, d, "medications"), "patient_id", "updated_at", "medication_count")
+
+
 @register("vitals_hourly_stats", W("""
     SELECT patient_id, vital_type, epoch_ms(date_trunc('hour', ingest_ts)) AS window_start,
            epoch_ms(date_trunc('hour', ingest_ts) + INTERVAL 1 hour) AS window_end,

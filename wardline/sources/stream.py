@@ -145,3 +145,35 @@ def stream_source(spark: SparkSession, kind: str, schema: T.StructType | None =
     for k, v in opts.items():
         r = r.option(k, v)
     return r.load(path)
+
+
+def encode_topic(df: DataFrame, key_col: str, columns: list[str], fmt: str = "json", avro_schema: str | None = None) -> DataFrame:
+    """Rows as keyed messages ``(key, value)``: ``value`` is the struct of
+    ``columns`` as JSON text (null fields kept) or as Avro."""
+    body = F.struct(*columns)
+    if fmt == "avro":
+        from pyspark.sql.avro.functions import to_avro  # needs the spark-avro package on the cluster
+        value = to_avro(body, avro_schema) if avro_schema else to_avro(body)
+    else:
+        value = F.to_json(body, {"ignoreNullFields": "false"})
+    return df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
+
+
+def decode_topic(df: DataFrame, schema: T.StructType | str, fmt: str = "json", value_col: str = "value") -> DataFrame:
+    """Messages back to columns: JSON by ``decode_json``, Avro by its reader
+    schema (a JSON string; undecodable messages give null columns)."""
+    if fmt == "avro":
+        from pyspark.sql.avro.functions import from_avro
+        keep = [c for c in df.columns if c != value_col]
+        return df.select(*keep, from_avro(F.col(value_col), schema, {"mode": "PERMISSIVE"}).alias("_p")).select(*keep, "_p.*")
+    return decode_json(df.withColumn(value_col, F.col(value_col).cast("string")), schema, value_col)
+
+
+def start_topic_sink(messages: DataFrame, topic: str, checkpoint: str, servers: str | None = None, path: str | None = None):
+    """Write keyed messages to a topic as they come: to a broker if ``servers`` is
+    given, else as JSON files under ``path`` (a topic's stand-in).  The query's
+    checkpoint holds the positions, so a restart goes on where it ended."""
+    w = messages.writeStream.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    if servers:
+        return w.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).start()
+    return w.format("json").option("path", f"{path}/{topic}").start()
