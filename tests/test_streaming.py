@@ -126,9 +126,38 @@ def test_list_fold_touches_only_batch_keys(spark, tmp_dir):
     assert exp.select(cols).exceptAll(got.select(cols)).count() == 0
     v1 = spark.read.parquet(f"{state}/conditions").where("v = 1").select("patient_id").distinct().count()
     assert v1 == parts[1].select("patient_id").distinct().count()
-    compact_state(spark, state, 3)
+    table = VersionedTable(spark, f"{state}/conditions")
+    before = table.read_all().count()
+    compact_state(spark, state, 2)
     got2 = context_state(spark, state)["conditions"]
     assert got2.select(cols).exceptAll(exp.select(cols)).count() == 0
+    assert table.read_all().count() == exp.count() < before  # readers scan the base alone
+    # a batch after the base: a replay of it, too, is read with the base
+    again = cond.where(F.col("rec_offset") == 1).limit(1).withColumn("rec_offset", F.lit(10**6).cast("long")).withColumn("status", F.lit("changed"))
+    for _ in range(2):
+        fold_context_batch(spark, empty, again, None, state, 3)
+    got3 = context_state(spark, state)["conditions"]
+    assert got3.count() == exp.count() and got3.where("status = 'changed'").count() == 1
+    assert table.read_all().count() <= exp.count() + again.join(exp, "patient_id").count()
+    assert table.read_all(before=2).count() < before  # older readers see no later base
+
+
+def test_context_of_three_streams(spark, tmp_dir):
+    cond, med = fx.conditions(spark, SF_SMALL), fx.medications(spark, SF_SMALL)
+    obs = fx.observations(spark, SF_SMALL)
+    vit = ingest.process_vitals(obs, fx.patients(spark, SF_SMALL))
+    streams = []
+    for name, df in (("v", vit), ("c", cond), ("m", med)):
+        _write_in_order(df, os.path.join(tmp_dir, name), 2)
+        streams.append(stream_source(spark, "parquet", df.schema, path=os.path.join(tmp_dir, name), maxFilesPerTrigger=1))
+    state = os.path.join(tmp_dir, "three")
+    for q in start_context(streams[0], state, os.path.join(tmp_dir, "ck7"), conditions_stream=streams[1], medications_stream=streams[2]):
+        q.awaitTermination()
+    got = context_state(spark, state)
+    for name, exp in (("conditions", ctx.latest_conditions(cond)), ("medications", ctx.latest_medications(med))):
+        cols = sorted(exp.columns)
+        assert got[name].count() == exp.count() and got[name].select(cols).exceptAll(exp.select(cols)).count() == 0
+    assert got["history"].count() == ctx.vitals_history(ctx.vital_readings(vit)).count()
 
 
 def test_list_table_update_mode_equals_batch(spark, tmp_dir):

@@ -29,7 +29,12 @@ from wardline.operators import ingest
 class VersionedTable:
     """A parquet table with one partition per committed micro-batch
     (``v = batch_id``).  Writing version v overwrites only that partition, so
-    replays are idempotent; readers take the newest complete version."""
+    replays are idempotent; readers take the newest complete version, or the
+    newest base and the versions after it.
+
+    A base holds everything up to a version in one partition of a table beside
+    this one; a pointer row written after it commits it.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -48,12 +53,28 @@ class VersionedTable:
             d = d.where(F.col("v") < before)
         return d.agg(F.max("v")).first()[0]  # answered from partition values
 
+    def _beside(self, what: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.path}_{what}")
+
     def read_all(self, before: int | None = None) -> DataFrame | None:
-        """Rows of every committed version (older than ``before``)."""
-        if self.latest_version(before) is None:
+        """The newest committed base (older than ``before``) and the rows of every
+        version after it."""
+        base = self._beside("pointer").latest_version(before)
+        last = self.latest_version(before)
+        if last is None:
             return None
         d = self.spark.read.parquet(self.path)
-        return (d if before is None else d.where(F.col("v") < before)).drop("v")
+        if before is not None:
+            d = d.where(F.col("v") < before)
+        if base is None:
+            return d.drop("v")
+        old = self.spark.read.parquet(self._beside("base").path).where(F.col("v") == base)
+        return old.unionByName(d.where(F.col("v") > base)).drop("v")
+
+    def write_base(self, df: DataFrame, version: int) -> None:
+        """Commit ``df`` as everything up to ``version``."""
+        self._beside("base").write(df, version)
+        self._beside("pointer").write(self.spark.range(1), version)
 
     def read(self, before: int | None = None) -> DataFrame | None:
         v = self.latest_version(before)
@@ -124,7 +145,7 @@ _ENTRIES = {"conditions": ("condition_name", ["condition_code", "status", "sever
             "medications": ("medication_name", ["dosage", "frequency", "route", "status"])}
 
 
-def fold_context_batch(spark: SparkSession, readings: DataFrame, conditions: DataFrame | None,
+def fold_context_batch(spark: SparkSession, readings: DataFrame | None, conditions: DataFrame | None,
                        medications: DataFrame | None, state_dir: str, batch_id: int,
                        n: int = rules.HISTORY_LEN) -> None:
     """One micro-batch of the context fold.
@@ -138,13 +159,14 @@ def fold_context_batch(spark: SparkSession, readings: DataFrame, conditions: Dat
     merge across versions (``context_state``) and a replayed batch rewrites
     the same version.
     """
-    hist_t = VersionedTable(spark, f"{state_dir}/history")
-    r = readings.select(*_HIST_COLS)
-    prev = hist_t.read_all(before=batch_id)
-    if prev is not None:
-        touched = r.select("patient_id").distinct()
-        r = prev.select(*_HIST_COLS).join(touched, "patient_id", "left_semi").unionByName(r)
-    hist_t.write(_merge_history(r, n), batch_id)
+    if readings is not None:
+        hist_t = VersionedTable(spark, f"{state_dir}/history")
+        r = readings.select(*_HIST_COLS)
+        prev = hist_t.read_all(before=batch_id)
+        if prev is not None:
+            touched = r.select("patient_id").distinct()
+            r = prev.select(*_HIST_COLS).join(touched, "patient_id", "left_semi").unionByName(r)
+        hist_t.write(_merge_history(r, n), batch_id)
 
     for name, log in (("conditions", conditions), ("medications", medications)):
         if log is None:
@@ -173,16 +195,34 @@ def context_state(spark: SparkSession, state_dir: str, n: int = rules.HISTORY_LE
 
 
 def compact_state(spark: SparkSession, state_dir: str, version: int, n: int = rules.HISTORY_LEN) -> None:
-    """Write the merged state as one version (readers then touch one
-    version; older versions can be removed by the table's housekeeping)."""
-    for name, df in context_state(spark, state_dir, n).items():
-        VersionedTable(spark, f"{state_dir}/{name}").write(df, version)
-
-
-def start_context(readings_stream: DataFrame, state_dir: str, checkpoint: str, trigger: dict | None = None):
-    """Vital readings stream -> incrementally folded context state."""
-    def batch(df: DataFrame, batch_id: int) -> None:
-        fold_context_batch(df.sparkSession, ctx.vital_readings(df), None, None, state_dir, batch_id)
-
-    return (readings_stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    """Commit the state merged up to ``version``, a batch that has been committed,
+    as each table's base: readers and later folds then scan the base and the
+    versions after it only."""
+    h = VersionedTable(spark, f"{state_dir}/history")
+    parts = [(h, lambda d: _merge_history(d, n))]
+    parts += [(VersionedTable(spark, f"{state_dir}/{name}"), lambda d, entry=entry: _merge_entries(d, entry)) for name, (_, entry) in _ENTRIES.items()]
+    for table, merge in parts:
+        rows = table.read_all(before=version + 1)
+        if rows is not None:
+            table.write_base(merge(rows), version)
+
+
+def start_context(readings_stream: DataFrame | None, state_dir: str, checkpoint: str, trigger: dict | None = None,
+                  conditions_stream: DataFrame | None = None, medications_stream: DataFrame | None = None):
+    """The three streams -> incrementally folded context state, each into its own
+    table by a query of its own; returns the queries that were started (the one
+    query if there is one stream)."""
+    def start(stream: DataFrame, name: str, fold):
+        def batch(df: DataFrame, batch_id: int) -> None:
+            fold(df.sparkSession, df, batch_id)
+
+        where = checkpoint if name == "history" else f"{checkpoint}-{name}"
+        return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", where)
+                .trigger(**(trigger or {"availableNow": True})).start())
+
+    folds = [
+        (readings_stream, "history", lambda s, df, i: fold_context_batch(s, ctx.vital_readings(df), None, None, state_dir, i)),
+        (conditions_stream, "conditions", lambda s, df, i: fold_context_batch(s, None, df, None, state_dir, i)),
+        (medications_stream, "medications", lambda s, df, i: fold_context_batch(s, None, None, df, state_dir, i))]
+    queries = [start(stream, name, fold) for stream, name, fold in folds if stream is not None]
+    return queries[0] if len(queries) == 1 else queries
