@@ -235,8 +235,8 @@ def band_components(bands: DataFrame, check, name: str, rest=None) -> DataFrame:
     of a band that are still in different components are compared with one
     another.  So pairs within a component, of which a large group has many, are
     not made, and no link between components is missed.  Bands are only aggregated
-    and joined, never gathered.  ``rest(apart(band, id, root))`` may confirm the
-    links between components instead; else all pairs are joined and checked.
+    and joined, never gathered.  ``rest(apart(band, id, root), first(a, b))`` may
+    confirm the links between components instead; else all pairs are joined and checked.
     ``check`` sees every id that shares a band in its first call.
     """
     shared = store(bands.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"), f"{name}-shared")
@@ -257,7 +257,7 @@ def band_components(bands: DataFrame, check, name: str, rest=None) -> DataFrame:
         pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
         more = check(store(pairs, f"{name}-rest"))
     else:
-        more = rest(apart)
+        more = rest(apart, first)
     return components(links.unionAll(more), f"{name}-all")
 
 

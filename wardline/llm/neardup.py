@@ -250,7 +250,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
         near = store(_estimate(pairs, classes, threshold), "near-likely")
         return _verify(near, docs, key, text, threshold)
 
-    roots = band_components(_bands(classes), check, "near", lambda apart: _link_apart(apart, classes, docs, key, text, threshold))
+    roots = band_components(_bands(classes), check, "near", lambda apart, _: _link_apart(apart, classes, docs, key, text, threshold))
     whole = (rows.join(member, ["digest", "n"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select("id", "n", F.coalesce("root", "rep", "id").alias("component_id")))
     return whole.select(F.col("id").cast(docs.schema[key].dataType).alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id",
