@@ -61,6 +61,7 @@ class _Lines:
         self.out: list[str] = []
         self.line: list[str] = []
         self.gap = 0
+        self.exact = False  # the line holds preformatted text
         self.indent: list[str] = []
         self.marker = ""
 
@@ -73,6 +74,7 @@ class _Lines:
 
     def plain(self, s: str) -> None:
         """Preformatted text."""
+        self.exact = True
         first, *more = s.replace("\r\n", "\n").split("\n")
         if first:
             self.line.append(first)
@@ -83,8 +85,8 @@ class _Lines:
 
     def _end(self, keep: bool = False) -> None:
         line = "".join(self.line)
-        line = line.rstrip() if keep else line.strip(" ")
-        self.line = []
+        line = line.rstrip() if keep or self.exact else line.strip(" ")
+        self.line, self.exact = [], keep
         if line or keep:
             self.whole([line])
 
@@ -100,6 +102,7 @@ class _Lines:
         """End the line; ``gap`` 2 leaves an empty line before the next."""
         if self.line:
             self._end()
+        self.exact = False
         self.gap = max(self.gap, gap)
 
     def done(self) -> list[str]:
@@ -255,8 +258,7 @@ class _Page:
                 if flow.line:
                     flow._end()
                 else:
-                    flow.gap += 1
-                flow.gap = min(flow.gap, 2)
+                    flow.gap = 2
                 return
             if tag in CELL and table:
                 if table.row < 0:
@@ -306,7 +308,7 @@ class _Page:
         if top.tag == "head" and s.strip():
             self.close()
             top = self.stack[-1]
-        if top.none or not top.seen or not s:
+        if top.none or not top.seen or not s or (top.tag == "details" and "open" not in top.attrs):
             return
         if top.tag == "table" or top.tag in GROUP or top.tag == "tr":  # shown before the table
             if not s.strip():
