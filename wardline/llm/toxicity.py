@@ -78,6 +78,9 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(x) for x in LOOKS_LIKE]] = True
 _GAP = np.zeros(256, bool)
 _GAP[list(b" .-_")] = True
+#: Punctuation around a token that stands for no letter, and signs that may be
+#: punctuation at its ends.
+_AROUND, _ENDS = b".,;:?\"')>-_", b"!(<*#+|"
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\f\v")] = True
 _ONE = rb"[A-Za-z0-9@$!|+(<*#]"
@@ -86,15 +89,16 @@ _APART = re.compile(_ONE + rb"(?:[ .\-_]" + _ONE + rb")+(?![A-Za-z\x80-\xff])")
 
 def decode(span: bytes, cost: np.ndarray) -> bytes:
     """The likeliest reading of a disguised span: lower-case words, one blank
-    between."""
+    between.  Signs at the ends may be punctuation."""
+    first, after = len(span) - len(span.lstrip(_ENDS)), len(span.rstrip(_ENDS))
     paths = {(0, 0): (0.0, None)}  # last two symbols -> cost, (byte, before)
     last = -1
-    for b in span.lower():
+    for i, b in enumerate(span.lower()):
         ch = chr(b)
         if _GAP[b]:
             options = [(-1, DROP_GAP), (32, KEEP_GAP)]
         elif ch in LOOKS_LIKE:
-            options = [(ord(x), AS_SIGN) for x in LOOKS_LIKE[ch]] + [(-1, DROP_SIGN), (32, BREAK)]
+            options = [(ord(x), AS_SIGN) for x in LOOKS_LIKE[ch]] + [(-1, DROP_SIGN), (32, BREAK if first <= i < after else 0.0)]
         else:
             options = [(b, 0.0)] + ([(-1, DROP_REPEAT)] if b == last else [])
         last = b
@@ -162,25 +166,24 @@ class Reader:
                 if m:
                     last = m.end()
                     yield d, m[0]
-        # signs or gaps among the letters of a token
-        within = (sign | gap)[1:-5] & (ext[1:-5] != 32) & letter[2:-4]
-        first = sign[:-5] & letter[1:-4]
-        first[1:] |= within & letter[:-6]
+        # tokens with a sign and a letter, or a gap between letters
         space = np.flatnonzero(_SPACE[data])
-        place = np.unique(np.searchsorted(space, np.flatnonzero(first)))
-        for i in place.tolist():
+        token = lambda on: np.unique(np.searchsorted(space, np.flatnonzero(on)))
+        between = gap[1:-5] & (ext[1:-5] != 32) & letter[2:-4] & letter[:-6]
+        place = np.union1d(np.intersect1d(token(sign[:-5]), token(letter[:-5]), assume_unique=True), np.unique(np.searchsorted(space, np.flatnonzero(between) + 1)))
+        for i in place.astype(np.int64).tolist():
             a, b = int(space[i - 1]) + 1 if i else 0, int(space[i]) if i < len(space) else len(data)
             d = row(a)
             while a < b:  # a token that crosses rows is one for each
                 end = min(b, int(offs[d + 1]))
                 if end - a > 2:
-                    yield d, whole[a:end].strip(b".,;:!?\"'()<>*#-_+|")
+                    yield d, whole[a:end].strip(_AROUND)
                 a, d = end, d + 1
         same = np.zeros(len(norm) + 1, np.int32)
         pair = (norm[1:] == norm[:-1]) & (norm[1:] != 0)
         same[1:len(pair) + 1] = np.cumsum(pair)  # pairs that begin before a place
         same[len(pair) + 1:] = same[len(pair)]
-        stretched = np.flatnonzero(same[np.maximum(e - 1, 0)] - same[s] >= 2)
+        stretched = np.flatnonzero(same[np.maximum(e - 1, 0)] - same[s] >= 1)
         for i, d in zip(stretched.tolist(), (np.searchsorted(w, stretched, "right") - 1).tolist(), strict=True):
             yield d, norm[s[i]:e[i]].tobytes()
 
