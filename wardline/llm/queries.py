@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, repeats, toxicity, vectors
+from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, repeats, search, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -172,3 +172,18 @@ def op7_cut_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, c = repeats.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.col(c["removed"]).alias("n_removed"),
                       F.size(c["spans"]).cast("long").alias("n_spans"), F.sha2(F.col(c["kept"]), 256).alias("kept_sha256"))
+
+
+@query("""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) SEMI JOIN b USING (t) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2.0 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY 1), c),
+part AS (SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS s FROM tf JOIN w USING (t), c),
+score AS (SELECT item_id, doc_id, CAST(sum(s) AS BIGINT) AS score FROM part JOIN b USING (t) GROUP BY ALL HAVING sum(s) > 0)
+SELECT item_id, CAST(row_number() OVER r AS INTEGER) AS rank, doc_id, score FROM score WINDOW r AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 50
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    return search.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
