@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, repeats, search, toxicity, vectors
+from wardline.llm import chat, decontaminate, html_text, langid, lines, neardup, packing, pii, repeats, search, spelling, toxicity, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -187,3 +187,20 @@ SELECT item_id, CAST(row_number() OVER r AS INTEGER) AS rank, doc_id, score FROM
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best documents for every benchmark item."""
     return search.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with the spelling it is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the patterns' spans and those added."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out, c = pii.find(docs, pii.train(docs))
+    found = F.col(c)
+    counts = [F.size(F.filter(found["base"], lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return out.select("doc_id", *counts, F.sha2(found["base_written"], 256).alias("base_sha256"), found["written"].alias("spans"),
+                      F.size(found["added"]).cast("long").alias("n_added"))
