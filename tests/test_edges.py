@@ -195,3 +195,28 @@ def test_empty_inputs(spark):
     assert ctx.vital_trends(ctx.vitals_history(readings(spark, []))).count() == 0
     r = dq.recency(dlq_rows(spark, 0), "2024-01-31 01:00:00").first()
     assert r.status == "CLEAN"
+
+
+def test_breakdown_counts_fields_and_other_dimensions(spark):
+    from wardline.operators import dlq
+    rows = [(1, "OUT_OF_RANGE: 8867-4 value 900", "a", "t"), (2, "MISSING_DATE: DATE field is empty", None, "t"), (3, "disk full", "a", None),
+            (4, None, "b", "t"), (5, "OUT_OF_RANGE : x", "a", "t")]
+    log = spark.createDataFrame(rows, "rec_offset long, error_reason string, source_system string, topic_intended string")
+    got = {(r.dimension, r.value): r.errors for r in dlq.breakdown(dlq.with_field(log)).collect()}
+    assert got == {("category", "OUT_OF_RANGE"): 2, ("category", "MISSING_DATE"): 1, ("category", "disk full"): 1, ("category", "unknown"): 1,
+                   ("source_system", "a"): 3, ("source_system", "unknown"): 1, ("source_system", "b"): 1,
+                   ("topic_intended", "t"): 4, ("topic_intended", "unknown"): 1, ("field", "VALUE"): 2, ("field", "DATE"): 1}
+    assert {r.dimension for r in dlq.breakdown(log).collect()} == {"category", "source_system", "topic_intended"}
+
+
+def test_advice_for_every_class_of_causes(spark):
+    from wardline import rules
+    from wardline.operators import dlq
+    reasons = {"range": "value OUT OF RANGE", "schema": "Avro said no", "missing": "NULL id", "connection": "connection refused", "unknown": "disk full"}
+    for name, reason in reasons.items():
+        log = spark.createDataFrame([(1, reason), (2, reason), (3, "other")], "rec_offset long, error_reason string")
+        got = dlq.diagnosis_advice(log).collect()
+        likely, fixes, again = rules.ROOT_CAUSE_ADVICE[name]
+        assert [r.text for r in sorted(got, key=lambda r: r.step) if r.part == "fix"] == fixes
+        assert {r.text for r in got if r.part != "fix"} == {x for x in (likely, again) if x}
+    assert dlq.diagnosis_advice(log.limit(0)).count() == 0

@@ -31,3 +31,13 @@ def test_history_limited_before_shuffle(spark):
 def test_exec_summary_has_no_cartesian_product(spark):
     df = E.queries()["exec_summary"](spark, SF_SMALL)
     assert "CartesianProduct" not in plan(df) and "BroadcastNestedLoopJoin" not in plan(df)
+
+
+def test_no_function_is_defined_twice():
+    import ast
+    from pathlib import Path
+
+    import wardline
+    for f in Path(wardline.__file__).parent.rglob("*.py"):
+        names = [n.name for n in ast.parse(f.read_text()).body if isinstance(n, (ast.FunctionDef, ast.ClassDef))]
+        assert len(names) == len(set(names)), f

@@ -2,8 +2,11 @@
 
 The guard runs before ``spark.sql``: Spark executes commands (DDL/DML) eagerly
 when the statement is analysed, so a read-only check after the fact would be too
-late.  The statement is only parsed, and refused if its plan holds a command or a
-statement that writes; names and literals never count.
+late.  The statement is only parsed, and every part of its plan must be on a list of
+what reads tables and computes: plan nodes, table functions, functions (Spark's own,
+but for those that call Java methods), wherever they stand, also in subqueries and
+common table expressions.  Tables are those of the catalog; files are not read by
+path.  Names and literals never count.
 """
 
 from __future__ import annotations
@@ -12,26 +15,98 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_CAP = 100
-# plan nodes that do something other than read
-_COMMANDS = ("Command", "ParsedStatement")
+# Plan nodes that read and compute only.
+_NODES = {
+    "Project", "Filter", "Aggregate", "Join", "LateralJoin", "AsOfJoin", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Distinct",
+    "Deduplicate", "Union", "Intersect", "Except", "SubqueryAlias", "UnresolvedWith", "WithWindowDefinition", "Generate", "OneRowRelation",
+    "UnresolvedInlineTable", "LocalRelation", "UnresolvedHaving", "Pivot", "Unpivot", "Sample", "UnresolvedSubqueryColumnAliases", "Window",
+    "RepartitionByExpression", "RebalancePartitions", "UnresolvedHint", "ResolvedInlineTable", "Range",
+}
+_TABLE_FUNCTIONS = {"range", "explode", "explode_outer", "posexplode", "posexplode_outer", "inline", "inline_outer", "json_tuple", "stack"}
+# What the parser leaves unresolved in expressions; a name made at run time is not among it.
+_UNRESOLVED = {
+    "UnresolvedAttribute", "UnresolvedStar", "UnresolvedFunction", "UnresolvedAlias", "UnresolvedOrdinal", "UnresolvedExtractValue",
+    "UnresolvedRegex", "UnresolvedInlineTable", "UnresolvedStarExceptOrReplace", "MultiAlias", "UnresolvedStarWithColumns",
+}
+# Functions of Spark's own that reach out of the query.
+_OUTSIDE = {"reflect", "java_method", "try_reflect", "input_file_name", "input_file_block_start", "input_file_block_length"}
+
+
+def _each(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _words(seq) -> list[str]:
+    return [str(x) for x in _each(seq)]
+
+
+class _Guard:
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        jvm = spark._jvm.org.apache.spark.sql.catalyst
+        self.builtin, self.name = jvm.analysis.FunctionRegistry.builtin(), jvm.FunctionIdentifier
+
+    def relation(self, parts: list[str]) -> str | None:
+        # a name of one part is a view, a table or nothing; of several it might be a path
+        name = ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+        if len(parts) > 1 and not self.spark.catalog.tableExists(name):
+            return f"there is no table {'.'.join(parts)}"
+        return None
+
+    def function(self, parts: list[str]) -> str | None:
+        name = parts[-1].lower()
+        own = len(parts) == 1 or [p.lower() for p in parts[:-1]] in (["builtin"], ["system", "builtin"])
+        if name in _OUTSIDE or not own or not self.builtin.functionExists(self.name(name)):
+            return f"the function {'.'.join(parts)} is not allowed"
+        return None
+
+    def expressions(self, todo: list) -> str | None:
+        while todo:
+            e = todo.pop()
+            kind, where = e.getClass().getSimpleName(), e.getClass().getPackageName()
+            if kind == "UnresolvedFunction":
+                why = self.function(_words(e.nameParts()))
+                if why:
+                    return why
+            elif kind == "UnresolvedGenerator":
+                if str(e.name().unquotedString()).lower() not in _TABLE_FUNCTIONS:
+                    return f"the table function {e.name().unquotedString()} is not allowed"
+            elif kind == "CallMethodViaReflection" or (where.endswith(".analysis") and kind not in _UNRESOLVED):
+                return f"{kind} is not allowed"
+            todo += _each(e.children())
+        return None
+
+    def plan(self, root) -> str | None:
+        todo = [root]
+        while todo:
+            node = todo.pop()
+            kind = node.getClass().getSimpleName().removesuffix("$")
+            why = None
+            if kind == "UnresolvedRelation":
+                why = self.relation(_words(node.multipartIdentifier()))
+            elif kind == "UnresolvedTableValuedFunction":
+                name = _words(node.name())
+                why = None if len(name) == 1 and name[0].lower() in _TABLE_FUNCTIONS else f"the table function {'.'.join(name)} is not allowed"
+                why = why or self.expressions(_each(node.functionArgs()))
+            elif kind not in _NODES:
+                why = f"only queries are allowed, not {kind}"
+            why = why or self.expressions(_each(node.expressions()))
+            if why:
+                return why
+            inner = [x for x in _each(node.innerChildren()) if hasattr(x, "subqueries")]
+            todo += _each(node.children()) + inner + _each(node.subqueries())
+        return None
 
 
 def is_read_only(spark: SparkSession, sql: str) -> tuple[bool, str]:
     """Whether ``sql`` is one query, and why not (the parser's whole message if it
     can't be parsed)."""
     try:
-        todo = [spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)]
+        plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+        why = _Guard(spark).plan(plan)
     except Exception as e:  # noqa: BLE001 - errors are data for the caller
         return False, str(e)
-    loader = spark._jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    kinds = [loader.loadClass(f"org.apache.spark.sql.catalyst.plans.logical.{c}") for c in _COMMANDS]
-    while todo:
-        node = todo.pop()
-        if any(k.isInstance(node) for k in kinds):
-            return False, f"only queries are allowed, not {node.nodeName()}"
-        children = node.children()
-        todo += [children.apply(i) for i in range(children.size())]
-    return True, ""
+    return why is None, why or ""
 
 
 def adhoc_sql(spark: SparkSession, sql: str, limit: int = RESULT_CAP) -> DataFrame:

@@ -50,6 +50,13 @@ def by_category(dlq: DataFrame, trim: bool = False, last_n: int | None = None) -
     return ranked.select("category", "errors", "rank")
 
 
+def with_field(dlq: DataFrame) -> DataFrame:
+    """Dead letters with the ``field`` of the row that the reason is about; null
+    where the reason is not one of the validator's."""
+    names = F.create_map(*[F.lit(x) for pair in rules.REASON_FIELD.items() for x in pair])
+    return dlq.withColumn("field", F.try_element_at(names, category(F.coalesce("error_reason", F.lit("")), trim=True)))
+
+
 def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
     """Errors by category, source, intended topic and, where records name one,
     failed field in one pass (grouping sets), long format ``(dimension, value,
@@ -68,22 +75,6 @@ def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
     return g.select(dim.alias("dimension"), F.coalesce(*names).alias("value"), "errors").where("value is not null")
 
 
-def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
-    """Errors by category, source and intended topic in one pass
-    (grouping sets), long format ``(dimension, value, errors)``."""
-    d = ring(dlq, last_n).select(
-        category(F.coalesce("error_reason", F.lit("unknown")), trim=True).alias("category"),
-        F.coalesce("source_system", F.lit("unknown")).alias("source_system"),
-        F.coalesce("topic_intended", F.lit("unknown")).alias("topic_intended"))
-    g = d.groupingSets([["category"], ["source_system"], ["topic_intended"]],
-                       "category", "source_system", "topic_intended") \
-        .agg(F.count(F.lit(1)).alias("errors"), F.grouping_id().alias("_g"))
-    dim = (F.when(F.col("_g") == 3, "category").when(F.col("_g") == 5, "source_system")
-           .otherwise("topic_intended"))
-    val = F.coalesce("category", "source_system", "topic_intended")
-    return g.select(dim.alias("dimension"), val.alias("value"), "errors")
-
-
 def timeline(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
     """Errors per hour (first 13 characters of the ISO failure time)."""
     return ring(dlq, last_n).where(F.col("failed_at").isNotNull()) \
@@ -116,16 +107,16 @@ def recency(dlq: DataFrame, as_of: str, last_n: int | None = None) -> DataFrame:
         .otherwise("INFO").alias("severity"))
 
 
-def root_cause(reason: Column) -> Column:
+def cause(reason: Column) -> Column:
+    """The class of a reason: the first whose keywords occur in it."""
     low = F.lower(reason)
-    out = None
-    for _, words, text in rules.ROOT_CAUSES:
-        cond = None
-        for w in words:
-            c = low.contains(w)
-            cond = c if cond is None else cond | c
-        out = F.when(cond, text) if out is None else out.when(cond, text)
-    return out.otherwise(rules.ROOT_CAUSE_UNKNOWN)
+    found = [F.when(F.greatest(*[low.contains(w) for w in (*words, *words[:1])]), name) for name, words, _ in rules.ROOT_CAUSES]
+    return F.coalesce(*found, F.lit("unknown"))
+
+
+def root_cause(reason: Column) -> Column:
+    texts = {name: text for name, _, text in rules.ROOT_CAUSES} | {"unknown": rules.ROOT_CAUSE_UNKNOWN}
+    return F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])[cause(reason)]
 
 
 def diagnosis(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
@@ -141,6 +132,26 @@ def diagnosis(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
                       root_cause(F.col("t.reason")).alias("root_cause"))
 
 
+def advice(spark) -> DataFrame:
+    """``(cause, part, step, text)``: what the classes of root causes advise, one row
+    for each sentence (a fixed table of some twenty rows)."""
+    rows = []
+    for name, (likely, fixes, again) in rules.ROOT_CAUSE_ADVICE.items():
+        rows += [(name, "likely_reason", 0, likely)] if likely else []
+        rows += [(name, "fix", i + 1, text) for i, text in enumerate(fixes)]
+        rows += [(name, "reprocess", 0, again)] if again else []
+    return spark.createDataFrame(rows, "cause string, part string, step int, text string")
+
+
+def diagnosis_advice(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
+    """What to do about the most common reason: ``(most_common_error, root_cause,
+    part, step, text)``, one row for each sentence, fixes numbered from 1.  An
+    empty log gives no rows."""
+    top = diagnosis(dlq, last_n).where("most_common_error is not null")
+    told = top.select("most_common_error", "root_cause", cause(F.col("most_common_error")).alias("cause"))
+    return told.join(F.broadcast(advice(dlq.sparkSession)), "cause").select("most_common_error", "root_cause", "part", "step", "text")
+
+
 def alert_level(dlq: DataFrame, components: DataFrame) -> DataFrame:
     """OK / WARNING (any error) / CRITICAL (more than 20 errors or a
     component not RUNNING)."""

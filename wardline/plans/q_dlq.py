@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from wardline import rules
 from wardline.operators import dlq as dq
 from wardline.operators import health as hl
 from wardline.operators import ingest
@@ -95,9 +96,13 @@ def q_dlq_by_category(spark, d):
 @register("dlq_breakdown", W(f"""
     SELECT 'category' AS dimension, trim({_CAT}) AS value, count(*) AS errors FROM dlq GROUP BY 2
     UNION ALL SELECT 'source_system', coalesce(source_system, 'unknown'), count(*) FROM dlq GROUP BY 2
-    UNION ALL SELECT 'topic_intended', coalesce(topic_intended, 'unknown'), count(*) FROM dlq GROUP BY 2""", "dlq"))
+    UNION ALL SELECT 'topic_intended', coalesce(topic_intended, 'unknown'), count(*) FROM dlq GROUP BY 2
+    UNION ALL SELECT 'field', column1, count(*) FROM dlq
+              JOIN (VALUES ('MISSING_VALUE', 'VALUE'), ('INVALID_VALUE', 'VALUE'), ('OUT_OF_RANGE', 'VALUE'),
+                           ('UNKNOWN_PATIENT', 'PATIENT'), ('MISSING_DATE', 'DATE')) f(column0, column1)
+                ON column0 = trim({_CAT}) GROUP BY 2""", "dlq"))
 def q_dlq_breakdown(spark, d):
-    return dq.breakdown(dlq(spark, d))
+    return dq.breakdown(dq.with_field(dlq(spark, d)))
 
 
 @register("dlq_timeline", W("""
@@ -149,6 +154,26 @@ def q_dlq_diagnosis(spark, d):
     return dq.diagnosis(dlq(spark, d))
 
 
+def _advice_rows() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    texts = {name: text for name, _, text in rules.ROOT_CAUSES} | {"unknown": rules.ROOT_CAUSE_UNKNOWN}
+    out = []
+    for name, (likely, fixes, again) in rules.ROOT_CAUSE_ADVICE.items():
+        told = [("likely_reason", 0, likely), *[("fix", i, f) for i, f in enumerate(fixes, 1)], ("reprocess", 0, again)]
+        out += [f"({quote(texts[name])}, '{part}', {step}, {quote(text)})" for part, step, text in told if text]
+    return ", ".join(out)
+
+
+@register("dlq_diagnosis_advice", W(f"""
+    SELECT reason AS most_common_error, root_cause, part, step, text
+    FROM (SELECT reason, {_ROOT} AS root_cause
+          FROM (SELECT coalesce(error_reason, 'unknown') AS reason, count(*) AS n, min(rec_offset) AS first
+                FROM dlq GROUP BY 1) ORDER BY n DESC, first LIMIT 1)
+    JOIN (VALUES {_advice_rows()}) a(root_cause, part, step, text) USING (root_cause)""", "dlq"))
+def q_dlq_diagnosis_advice(spark, d):
+    return dq.diagnosis_advice(dlq(spark, d))
+
+
 @register("alert_level", W("""
     SELECT (SELECT count(*) FROM dlq) AS dlq_count, count_if(state <> 'RUNNING') AS failed_connectors,
            CASE WHEN (SELECT count(*) FROM dlq) > 20 OR count_if(state <> 'RUNNING') > 0 THEN 'CRITICAL'

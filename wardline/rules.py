@@ -69,6 +69,15 @@ REASON_OUT_OF_RANGE = "OUT_OF_RANGE: {code} value {value} outside valid range [{
 REASON_UNKNOWN_PATIENT = "UNKNOWN_PATIENT: Patient {id8}... not in patients.csv"
 REASON_MISSING_DATE = "MISSING_DATE: DATE field is empty"
 
+# --- the field of a row that a validation reason is about (by its category) -
+REASON_FIELD = {
+    "MISSING_VALUE": "VALUE",
+    "INVALID_VALUE": "VALUE",
+    "OUT_OF_RANGE": "VALUE",
+    "UNKNOWN_PATIENT": "PATIENT",
+    "MISSING_DATE": "DATE",
+}
+
 # --- fixed values: sources, topics and retention (days; None = forever) ---
 SOURCE_SYSTEMS = [
     # source key,      label,                 topic,                 data type
@@ -97,6 +106,44 @@ ROOT_CAUSES = [
     ("missing", ["missing", "null", "required"], "Required fields are NULL or missing in source data"),
     ("connection", ["connect", "timeout", "refused"], "Connector cannot reach the source database"),
 ]
+# likely reason, steps to fix (numbered in this order) and how to reprocess
+ROOT_CAUSE_ADVICE = {
+    "range": (
+        "Source system changed units (e.g., heart rate in bpm vs per-minute) or a sensor is malfunctioning and sending extreme values.",
+        ["Check the source system for recent changes to data format or units",
+         "Update the Avro schema if the valid range has changed",
+         "Add range validation in the producer before sending to Kafka",
+         "If sensor issue: flag the device for maintenance"],
+        "After fixing, the DLQ messages can be replayed to the main topic: consume from DLQ, fix the values, produce to the original topic."),
+    "schema": (
+        "A producer is sending data with a schema that doesn't match what's registered. This can happen after a database migration or code deployment.",
+        ["Check Schema Registry for the latest schema version",
+         "Compare with what the producer is sending",
+         "If schema needs to evolve: register new compatible version",
+         "If producer bug: fix the producer code and redeploy"],
+        "Schema-level failures mean ALL records are likely failing. Fix the schema first, then restart the connector/producer. "
+        "Kafka retains the source data, so no data is lost."),
+    "missing": (
+        "Source system has records with missing required fields. Could be a data entry issue or a source system bug.",
+        ["Query the source database for records with NULL required fields",
+         "Report to the source system team for data cleanup",
+         "Add default values or make fields optional in the schema",
+         "Add producer-level validation to catch these before Kafka"],
+        "After source data is fixed, reprocess: consume from DLQ, re-validate, and produce to the main topic."),
+    "connection": (
+        "Database is down, network issue, or credentials expired.",
+        ["Check if the source database is reachable: ping hostname",
+         "Verify credentials are still valid",
+         "Check network/firewall rules",
+         "Restart the connector after fixing the connection"],
+        "Connection errors mean no data was consumed. Once connection is restored, the connector resumes from its last offset — no data loss."),
+    "unknown": (
+        None,
+        ["Check connector logs: docker logs kafka-connect --tail 100",
+         "Check producer logs for error details",
+         "Inspect the raw DLQ messages for patterns"],
+        None),
+}
 ROOT_CAUSE_UNKNOWN = "Unknown error type — requires manual investigation"
 
 # --- fixed values: time constants -----------------------------------------
