@@ -127,18 +127,6 @@ def test_fuzzy_lines_have_high_recall(spark):
     assert len(got ^ keep) <= 2
 
 
-def test_agreement_of_marks(spark):
-    r = random.Random(5)
-    rows = []
-    for _ in range(200):
-        a = [r.randrange(256) for _ in range(27)]
-        b = [x if r.random() < 0.4 else r.choice([x ^ 128, x ^ 1, r.randrange(256), 0]) for x in a]
-        pack = lambda m: [sum(v << 8 * k for k, v in enumerate(m[i:i + 7])) for i in range(0, 27, 7)]
-        rows.append((pack(a), pack(b), sum(x == y for x, y in zip(a, b, strict=True))))
-    df = spark.createDataFrame(rows, "a array<long>, b array<long>, n int")
-    assert df.where(lines._agreement(F.col("a"), F.col("b")) != F.col("n")).count() == 0
-
-
 @pytest.mark.parametrize("together", [256, 0])
 def test_repeats(docs, rows, monkeypatch, together):
     monkeypatch.setattr(repeats, "TOGETHER", together)
