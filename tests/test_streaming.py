@@ -10,7 +10,7 @@ from wardline.operators import context as ctx
 from wardline.operators import ingest, tables
 from wardline.sources import fixtures as fx
 from wardline.sources.stream import stream_source
-from wardline.streaming import (VersionedTable, compact_state, context_state, fold_context_batch, start_append,
+from wardline.streaming import (KeyedTable, VersionedTable, compact_state, context_state, fold_context_batch, start_append,
                                 start_context, start_ingest, start_update_table)
 
 
@@ -74,7 +74,7 @@ def test_window_stats_update_mode(spark, tmp_dir):
     agg = tables.window_count(ingest.enrich_vitals(valid), keys=("patient_id",), size="1 hour")
     out = os.path.join(tmp_dir, "wc")
     start_update_table(agg, ["patient_id", "window_start"], out, os.path.join(tmp_dir, "ck3")).awaitTermination()
-    got = VersionedTable(spark, out).read()
+    got = KeyedTable(spark, out, ["patient_id", "window_start"]).read()
     exp = tables.window_count(ingest.process_vitals(obs, fx.patients(spark, SF_SMALL)), keys=("patient_id",),
                               size="1 hour")
     assert got.count() == exp.count()
@@ -168,7 +168,7 @@ def test_list_table_update_mode_equals_batch(spark, tmp_dir):
     out = os.path.join(tmp_dir, "cl")
     start_update_table(tables.conditions_latest(src), ["patient_id"], out,
                        os.path.join(tmp_dir, "ck5")).awaitTermination()
-    got = VersionedTable(spark, out).read()
+    got = KeyedTable(spark, out, ["patient_id"]).read()
     exp = tables.conditions_latest(cond)
     assert got.count() == exp.count()
     assert got.select(exp.columns).exceptAll(exp).count() == 0

@@ -11,7 +11,7 @@ inside each map task before the shuffle; the "last n readings" frame uses
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import rules
@@ -42,21 +42,26 @@ def vitals_history(readings: DataFrame, n: int = rules.HISTORY_LEN, keys: tuple[
             .withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n))
 
 
+def trend_of(first: Column, last: Column) -> dict[str, Column]:
+    """``direction``, ``change`` and ``pct_change`` from the oldest to the newest
+    reading: pct relative to the oldest (0 when it is 0), direction by sign.  NaN
+    readings give a NaN change and direction ``stable``, as in Python."""
+    change = last - first
+    direction = (F.when(F.isnan(change), "stable").when(change > 0, "rising")
+                 .when(change < 0, "falling").otherwise("stable"))
+    pct = F.when(first != 0, change / first * 100).otherwise(F.lit(0.0))
+    return {"direction": direction, "change": F.round(change, 2), "pct_change": F.round(pct, 2)}
+
+
 def vital_trends(history: DataFrame, keys: tuple[str, ...] = (KEY,)) -> DataFrame:
-    """Trend over the kept readings: change = newest - oldest, pct relative to
-    the oldest (0 when it is 0), direction by sign; only with >= 2 readings.
-    NaN readings give a NaN change and direction ``stable``, as in Python."""
+    """Trend over the kept readings (``trend_of``); only with >= 2 readings."""
     g = history.groupBy(*keys, "vital").agg(
         F.count(F.lit(1)).alias("readings"),
         F.min_by("value", "rec_offset").alias("_first"),
         F.max_by("value", "rec_offset").alias("_last"),
     ).where(F.col("readings") >= 2)
-    change = F.col("_last") - F.col("_first")
-    direction = (F.when(F.isnan(change), "stable").when(change > 0, "rising")
-                 .when(change < 0, "falling").otherwise("stable"))
-    pct = F.when(F.col("_first") != 0, change / F.col("_first") * 100).otherwise(F.lit(0.0))
-    return g.select(*keys, "vital", direction.alias("direction"), F.round(change, 2).alias("change"),
-                    F.round(pct, 2).alias("pct_change"), "readings")
+    trend = trend_of(F.col("_first"), F.col("_last"))
+    return g.select(*keys, "vital", *[c.alias(name) for name, c in trend.items()], "readings")
 
 
 def current_vitals(readings: DataFrame, n: int = rules.HISTORY_LEN) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from wardline import rules
 from wardline.operators import context as ctx
 from wardline.operators import ingest
+from wardline.streaming.keyed import KeyedTable, exists
 
 
 class VersionedTable:
@@ -45,10 +46,9 @@ class VersionedTable:
          .partitionBy("v").parquet(self.path))
 
     def latest_version(self, before: int | None = None) -> int | None:
-        try:
-            d = self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return None
+        if not exists(self.spark, self.path):
+            return None  # any other failure of a read stops the caller
+        d = self.spark.read.parquet(self.path)
         if before is not None:
             d = d.where(F.col("v") < before)
         return d.agg(F.max("v")).first()[0]  # answered from partition values
@@ -112,14 +112,15 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
 
 
 def start_update_table(agg: DataFrame, keys: list[str], path: str, checkpoint: str,
-                       trigger: dict | None = None):
-    """Update-mode aggregate merged into a keyed table: each batch's changed
-    rows replace the stored rows of the same key."""
+                       trigger: dict | None = None, buckets: int = 8, compact_every: int = 50):
+    """Update-mode aggregate into a ``KeyedTable``: a batch writes its changed rows
+    only, readers merge them by key; every ``compact_every`` batches what was
+    committed before becomes the base."""
     def batch(df: DataFrame, batch_id: int) -> None:
-        t = VersionedTable(df.sparkSession, path)
-        prev = t.read(before=batch_id)
-        cur = df if prev is None else prev.join(df.select(*keys), keys, "left_anti").unionByName(df)
-        t.write(cur, batch_id)
+        t = KeyedTable(df.sparkSession, path, keys, buckets)
+        if batch_id and batch_id % compact_every == 0:
+            t.compact(batch_id - 1)
+        t.write(df, batch_id)
 
     return (agg.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
