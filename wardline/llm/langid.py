@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 from wardline.llm.common import chunks, fresh, in_arrow, store
 
-#: Slots of the filter, hash functions, and languages a mask holds.
-SLOTS, HASHES, MOST = 1 << 20, 3, 63
+#: Slots of the filter, hash functions, and languages a word of a mask holds; a slot
+#: has as many words as the languages need (8 MB for each).
+SLOTS, HASHES, WORD = 1 << 20, 3, 63
 #: A language contains an n-gram that makes up this share of its n-grams at
 #: least, and this share of the highest such share of any language.
 LEAST, OF_BEST = 1e-6, 0.1
@@ -57,25 +58,31 @@ def _slot_columns(code: Column) -> Column:
 
 
 class Model:
-    """Languages, filter, and per language the rate of false positives."""
+    """Languages, filter (words of masks by slot), and per language the rate of
+    false positives."""
 
     def __init__(self, languages: list[str], masks: np.ndarray):
         self.languages, self.masks = languages, masks
-        self.wrong = np.array([float(np.mean((masks >> i) & 1)) ** HASHES for i in range(len(languages))])
+        self.wrong = np.array([float(np.mean((masks[i // WORD] >> (i % WORD)) & 1)) ** HASHES for i in range(len(languages))])
 
     def predict(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each row the index of its language and the share of its n-grams
         that the language contains."""
         code, w = grams(data, offs)
-        mask = np.full(len(code), -1, np.int64)
-        for s in slots(code):
-            mask &= self.masks[s]
         n = np.diff(w)
-        share = np.zeros((max(1, len(self.languages)), len(n)))
-        for i, wrong in enumerate(self.wrong):
-            run = np.concatenate(([0], np.cumsum((mask >> i) & 1)))
-            share[i] = np.clip((run[w[1:]] - run[w[:-1]] - n * wrong) / (1 - min(wrong, 0.999)) / np.maximum(n, 1), 0, 1)
-        return share.argmax(0), share.max(0)
+        best, share = np.zeros(len(n), np.int64), np.full(len(n), -1.0)
+        places = list(slots(code))
+        for k, word in enumerate(self.masks):
+            mask = np.full(len(code), -1, np.int64)
+            for s in places:
+                mask &= word[s]
+            for i in range(k * WORD, min((k + 1) * WORD, len(self.languages))):
+                wrong = self.wrong[i]
+                run = np.concatenate(([0], np.cumsum((mask >> (i % WORD)) & 1)))
+                own = np.clip((run[w[1:]] - run[w[:-1]] - n * wrong) / (1 - min(wrong, 0.999)) / np.maximum(n, 1), 0, 1)
+                best = np.where(own > share, i, best)
+                share = np.maximum(share, own)
+        return best, np.maximum(share, 0)
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
@@ -84,7 +91,7 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
 
     Tasks count their own rows; the counts are summed by n-gram, so no language,
     however large, meets in one task.  Only the filter's slots, at most
-    ``SLOTS`` rows, come to the driver.  More than ``MOST`` languages are an error.
+    ``SLOTS`` rows for every ``WORD`` languages, come to the driver.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -117,19 +124,19 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text") -> Model:
 
     labelled = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text")).dropna()
     counts = store(labelled.transform(in_arrow, count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")), "langid-grams")
-    totals = sorted(((r["lang"], r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).limit(MOST + 1).collect()), key=lambda r: (-r[1], r[0]))
-    if len(totals) > MOST:
-        raise ValueError(f"more than {MOST} languages")
-    masks = np.zeros(SLOTS, np.int64)
+    totals = sorted(((r["lang"], r["n"]) for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()), key=lambda r: (-r[1], r[0]))
+    masks = np.zeros((-(-len(totals) // WORD), SLOTS), np.int64)
     if totals:
         rate = F.col("n") / F.create_map(*[F.lit(x) for r in totals for x in r])[F.col("lang")]
-        bit = F.create_map(*[F.lit(x) for i, (name, _) in enumerate(totals) for x in (name, 1 << i)])[F.col("lang")]
-        best = (counts.select("code", rate.alias("rate"), bit.cast("long").alias("bit")).groupBy("code")
-                .agg(F.max("rate").alias("best"), F.collect_list(F.struct("rate", "bit")).alias("of")))  # one entry per language
-        contained = best.select("code", F.aggregate("of", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
-            F.when((x["rate"] >= LEAST) & (x["rate"] >= F.col("best") * OF_BEST), x["bit"]).otherwise(F.lit(0).cast("long")))).alias("mask"))
-        filled = contained.where("mask != 0").select(F.explode(_slot_columns(F.col("code"))).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()
-        masks[filled["slot"].to_numpy()] = filled["mask"].to_numpy()
+        number = F.create_map(*[F.lit(x) for i, (name, _) in enumerate(totals) for x in (name, i)])[F.col("lang")]
+        best = (counts.select("code", rate.alias("rate"), number.alias("number")).groupBy("code")
+                .agg(F.max("rate").alias("best"), F.collect_list(F.struct("rate", "number")).alias("of")))  # one entry per language
+        own = best.select("code", F.explode(F.filter("of", lambda x: (x["rate"] >= LEAST) & (x["rate"] >= F.col("best") * OF_BEST))).alias("x"))
+        bit = F.expr(f"shiftleft(1L, x.number % {WORD})")
+        contained = own.select("code", F.floor(F.col("x.number") / WORD).cast("int").alias("word"), bit.alias("bit")).groupBy("code", "word").agg(F.bit_or("bit").alias("mask"))
+        filled = contained.select(F.explode(_slot_columns(F.col("code"))).alias("slot"), "word", "mask").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        word, slot, mask = (filled.column(c).to_numpy() for c in ("word", "slot", "mask"))
+        masks[word, slot] = mask
     return Model([name for name, _ in totals], masks)
 
 
