@@ -10,7 +10,7 @@ and a logistic curve makes a probability of it.
 
 from __future__ import annotations
 
-import re
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from wardline.llm.common import chunks, fresh, gram_hashes, in_arrow, runs, span_hashes, store
 from wardline.llm.langid import _SYMBOL as SYMBOL
 
-#: Labelled rows that the classifier is fitted on at most, its features at most,
-#: the lengths of word beginnings (bytes) that are features, and the least gain
-#: in log likelihood of one (what pure chance would not give in a vocabulary).
-SAMPLE, FEATURES, BEGINNINGS, GAIN = 50_000, 2_000, (4, 5, 6, 7, 8), 12.0
+#: Labelled rows that the classifier is fitted on at most, the lengths of word
+#: beginnings (bytes) that are features, and the least gain in log likelihood of one
+#: (what pure chance would not give in a vocabulary).
+SAMPLE, BEGINNINGS, GAIN = 50_000, (4, 5, 6, 7, 8), 12.0
 
 # ------------------------------------------------------ character model
 
@@ -77,46 +77,60 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 _SIGN = np.zeros(256, bool)
 _SIGN[[ord(x) for x in LOOKS_LIKE]] = True
 _GAP = np.zeros(256, bool)
-_GAP[list(b" .-_")] = True
+_GAP[list(b" .-_/,~:")] = True
+#: Characters between letters that are set apart, at most.
+WIDEST_GAP = 3
 #: Punctuation around a token that stands for no letter, and signs that may be
 #: punctuation at its ends.
 _AROUND, _ENDS = b".,;:?\"')>-_", b"!(<*#+|"
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\f\v")] = True
-_ONE = rb"[A-Za-z0-9@$!|+(<*#]"
-_APART = re.compile(_ONE + rb"(?:[ .\-_]" + _ONE + rb")+(?![A-Za-z\x80-\xff])")
 
 
-def decode(span: bytes, cost: np.ndarray) -> bytes:
+def _options() -> list[list[tuple[int, int, float]]]:
+    """For each byte its readings: byte (-1: none), its symbol, cost; blanks within a
+    word and repeats are up to the place."""
+    out = []
+    for b in range(256):
+        ch = chr(b)
+        if _GAP[b]:
+            out.append([(-1, 0, DROP_GAP), (32, 0, KEEP_GAP)])
+        elif ch in LOOKS_LIKE:
+            out.append([(ord(x), int(SYMBOL[ord(x)]), AS_SIGN) for x in LOOKS_LIKE[ch]] + [(-1, 0, DROP_SIGN)])
+        else:
+            out.append([(b, int(SYMBOL[b]), 0.0)])
+    return out
+
+
+_READINGS = _options()
+_SIGNS = {ord(x) for x in LOOKS_LIKE}
+
+
+def decode(span: bytes, cost: list[float]) -> bytes:
     """The likeliest reading of a disguised span: lower-case words, one blank
     between.  Signs at the ends may be punctuation."""
     first, after = len(span) - len(span.lstrip(_ENDS)), len(span.rstrip(_ENDS))
-    paths = {(0, 0): (0.0, None)}  # last two symbols -> cost, (byte, before)
+    paths = {0: (0.0, None)}  # last two symbols (6 bits each) -> cost, (byte, before)
     last = -1
     for i, b in enumerate(span.lower()):
-        ch = chr(b)
-        if _GAP[b]:
-            options = [(-1, DROP_GAP), (32, KEEP_GAP)]
-        elif ch in LOOKS_LIKE:
-            options = [(ord(x), AS_SIGN) for x in LOOKS_LIKE[ch]] + [(-1, DROP_SIGN), (32, BREAK if first <= i < after else 0.0)]
-        else:
-            options = [(b, 0.0)] + ([(-1, DROP_REPEAT)] if b == last else [])
+        options = _READINGS[b]
+        if b in _SIGNS:
+            options = [*options, (32, 0, BREAK if first <= i < after else 0.0)]
+        elif b == last and not _GAP[b]:
+            options = [*options, (-1, 0, DROP_REPEAT)]
         last = b
         then: dict = {}
-        for (x, y), (c, back) in paths.items():
-            for out, extra in options:
-                if out < 0:
-                    to, total, path = (x, y), c + extra, back
+        for state, (c, back) in paths.items():
+            for out, z, extra in options:
+                if out < 0 or not (z or state & 63):
+                    to, total, path = state, c + extra, back
                 else:
-                    z = int(SYMBOL[out])
-                    if not z and not y:
-                        to, total, path = (x, y), c + extra, back
-                    else:
-                        to, total, path = (y, z), c + extra + float(cost[x << 12 | y << 6 | z]), (out, back)
-                if to not in then or total < then[to][0]:
+                    to, total, path = (state & 63) << 6 | z, c + extra + cost[state << 6 | z], (out, back)
+                had = then.get(to)
+                if had is None or total < had[0]:
                     then[to] = (total, path)
         paths = then
-    ends = ((c + float(cost[x << 12 | y << 6]) if y else c, path) for (x, y), (c, path) in paths.items())
+    ends = ((c + cost[state << 6] if state & 63 else c, path) for state, (c, path) in paths.items())
     _, path = min(ends, key=lambda e: e[0])
     out = bytearray()
     while path:
@@ -140,52 +154,69 @@ class Reader:
 
     def __init__(self, cost: np.ndarray):
         self.cost = cost
+        self.costs: list[float] = cost.tolist()
         self.known: dict[bytes, bytes] = {}
 
     def restored(self, span: bytes) -> bytes:
-        if span not in self.known:
+        found = self.known.get(span)
+        if found is None:
             if len(self.known) > 100_000:
                 self.known.clear()
-            self.known[span] = decode(span, self.cost)
-        return self.known[span]
-
-    def spans(self, data: np.ndarray, offs: np.ndarray, norm: np.ndarray, s: np.ndarray, e: np.ndarray, w: np.ndarray) -> Iterator[tuple[int, bytes]]:
+            found = self.known[span] = decode(span, self.costs)
+        return found
+
+    def _apart(self, data: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Bytes from, to of three single characters or more, set apart."""
+        gap = _GAP[data]
+        s, e, w = runs(~gap, offs)
+        if len(s) < 3:
+            return
+        first = data[s]
+        single = (e - s == 1) & (first < 128) & (_LETTER[first] | _SIGN[first])
+        single |= (e - s == 2) & (first == 0xC3)
+        row = np.repeat(np.arange(len(offs) - 1), np.diff(w))
+        joins = single[1:] & single[:-1] & (row[1:] == row[:-1]) & (s[1:] - e[:-1] <= WIDEST_GAP)
+        edge = np.diff(np.concatenate(([0], joins.view(np.int8), [0])))
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if b - a >= 2:
+                yield int(s[a]), int(e[b])
+
+    def _stretched(self, norm: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words with several doubled letters; words with one that the decoder reads as
+        a single letter, and the places of the letters to leave out.
+
+        With one such pair only the costs of the second letter and of the one after it
+        differ between the two readings, so the decoder's choice is known."""
+        pair = np.flatnonzero((norm[1:] == norm[:-1]) & (norm[1:] != 0))
+        word = np.searchsorted(s, pair, "right") - 1
+        many = np.bincount(word, minlength=len(s))
+        pair, one = pair[many[word] == 1], word[many[word] == 1]
+        sym = SYMBOL[np.concatenate(([0], norm, [0, 0]))].astype(np.int64)  # words have a blank before and after
+        before, letter, after = sym[pair], sym[pair + 1], sym[pair + 3]
+        keep = self.cost[before << 12 | letter << 6 | letter] + self.cost[letter << 12 | letter << 6 | after]
+        drop = self.cost[before << 12 | letter << 6 | after] + np.float32(DROP_REPEAT)
+        return np.flatnonzero(many > 1), one[drop < keep], pair[drop < keep]
+
+    def spans(self, data: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, bytes]]:
         """(row, disguised span)."""
-        ext = np.concatenate((data, np.full(5, 32, np.uint8)))
-        letter, sign, gap = _LETTER[ext], _SIGN[ext], _GAP[ext]
-        row = lambda at: int(np.searchsorted(offs, at, "right")) - 1
-        # single characters set apart: x.x.x
-        one = (letter | sign) & (ext < 128)
-        apart = one[:-5] & gap[1:-4] & one[2:-3] & gap[3:-2] & one[4:-1] & ~letter[5:]
-        apart[1:] &= ~letter[:-6]
-        whole, last = data.tobytes(), 0
-        for at in np.flatnonzero(apart).tolist():
-            if at >= last:
-                d = row(at)
-                m = _APART.match(whole, at, int(offs[d + 1]))
-                if m:
-                    last = m.end()
-                    yield d, m[0]
+        whole, ends = data.tobytes(), offs.tolist()
+        for a, b in self._apart(data, offs):
+            yield bisect.bisect_right(ends, a) - 1, whole[a:b]
         # tokens with a sign and a letter, or a gap between letters
+        ext = np.concatenate((data, np.full(2, 32, np.uint8)))
+        letter, sign, gap = _LETTER[ext], _SIGN[ext], _GAP[ext]
         space = np.flatnonzero(_SPACE[data])
         token = lambda on: np.unique(np.searchsorted(space, np.flatnonzero(on)))
-        between = gap[1:-5] & (ext[1:-5] != 32) & letter[2:-4] & letter[:-6]
-        place = np.union1d(np.intersect1d(token(sign[:-5]), token(letter[:-5]), assume_unique=True), np.unique(np.searchsorted(space, np.flatnonzero(between) + 1)))
-        for i in place.astype(np.int64).tolist():
-            a, b = int(space[i - 1]) + 1 if i else 0, int(space[i]) if i < len(space) else len(data)
-            d = row(a)
+        between = gap[1:-1] & (ext[1:-1] != 32) & letter[2:] & letter[:-2]
+        place = np.union1d(np.intersect1d(token(sign[:-2]), token(letter[:-2]), assume_unique=True), np.unique(np.searchsorted(space, np.flatnonzero(between) + 1)))
+        starts, stops = np.concatenate(([0], space + 1))[place], np.append(space, len(data))[place]
+        rows = np.searchsorted(offs, starts, "right") - 1
+        for a, b, d in zip(starts.tolist(), stops.tolist(), rows.tolist(), strict=True):
             while a < b:  # a token that crosses rows is one for each
-                end = min(b, int(offs[d + 1]))
+                end = min(b, ends[d + 1])
                 if end - a > 2:
                     yield d, whole[a:end].strip(_AROUND)
                 a, d = end, d + 1
-        same = np.zeros(len(norm) + 1, np.int32)
-        pair = (norm[1:] == norm[:-1]) & (norm[1:] != 0)
-        same[1:len(pair) + 1] = np.cumsum(pair)  # pairs that begin before a place
-        same[len(pair) + 1:] = same[len(pair)]
-        stretched = np.flatnonzero(same[np.maximum(e - 1, 0)] - same[s] >= 1)
-        for i, d in zip(stretched.tolist(), (np.searchsorted(w, stretched, "right") - 1).tolist(), strict=True):
-            yield d, norm[s[i]:e[i]].tobytes()
 
     def features(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and hashes of the words and word beginnings in them; repeated."""
@@ -193,9 +224,17 @@ class Reader:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         norm = _fold(data)
         s, e, w = runs(norm != 0, offs)
-        rows = [np.searchsorted(w, np.arange(len(s)), "right") - 1]
+        rows = [np.repeat(np.arange(len(offs) - 1), np.diff(w))]
         parts = [(norm, s, e)]
-        found = [(d, self.restored(x)) for d, x in self.spans(data, offs, norm, s, e, w)]
+        several, one, out = self._stretched(norm, s, e)
+        if len(one):
+            size = e[one] - s[one]
+            ends = np.cumsum(size)
+            at = np.repeat(s[one] - (ends - size), size) + np.arange(ends[-1])
+            rows.append(rows[0][one])
+            parts.append((norm[np.delete(at, out - s[one] + ends - size)], ends - size - np.arange(len(one)), ends - np.arange(len(one)) - 1))
+        found = [(d, self.restored(x)) for d, x in self.spans(data, offs)]
+        found += [(d, self.restored(norm[a:b].tobytes())) for a, b, d in zip(s[several].tolist(), e[several].tolist(), rows[0][several].tolist(), strict=True)]
         if found:
             more = np.frombuffer(b" ".join(x for _, x in found), np.uint8)
             ends = np.cumsum([0] + [len(x) + 1 for _, x in found])
@@ -205,15 +244,15 @@ class Reader:
             of = np.array([d for d, _ in found])
             rows.append(of[np.searchsorted(w2, np.arange(len(s2)), "right") - 1])
             parts.append((folded, s2, e2))
-        out_rows, out = [], []
+        out_rows, hashes = [], []
         for r, (text, a, b) in zip(rows, parts, strict=True):
             out_rows.append(r)
-            out.append(span_hashes(text, a, b))
+            hashes.append(span_hashes(text, a, b))
             for n in BEGINNINGS:
                 long = np.flatnonzero(b - a >= n)
                 out_rows.append(r[long])
-                out.append(span_hashes(text, a[long], a[long] + n) + np.uint64(n))
-        return np.concatenate(out_rows), np.concatenate(out)
+                hashes.append(span_hashes(text, a[long], a[long] + n) + np.uint64(n))
+        return np.concatenate(out_rows), np.concatenate(hashes)
 
 
 # --------------------------------------------------------------- scores
@@ -304,7 +343,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     a, k, rate = F.col("toxic").cast("double"), F.col("n").cast("double"), p / n
     gain = a * F.log(a / (k * rate)) + F.when(k > a, (k - a) * F.log((k - a) / (k * (1 - rate)))).otherwise(0.0)
     best = (rows.transform(in_arrow, count, "h long, toxic long, n long").groupBy("h").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-            .where(a > k * rate).where(gain >= GAIN).orderBy(F.desc(gain), "h").limit(FEATURES).toPandas())
+            .where(a > k * rate).where(gain >= GAIN).select("h", "toxic", "n").toPandas())  # of the bounded sample's words
     order = np.argsort(best["h"].to_numpy(np.int64).view(np.uint64))
     features = best["h"].to_numpy(np.int64).view(np.uint64)[order]
     share = (best["toxic"].to_numpy(float)[order] + rate) / (best["n"].to_numpy(float)[order] + 1)
