@@ -139,6 +139,24 @@ def test_repeats(docs, rows, monkeypatch, together):
         assert (r[c["removed"]], len(r[c["spans"]]), bytes(r[c["kept"]])) == (removed, spans, kept)
 
 
+def test_rows_of_one_key_lose_only_their_own_bytes(spark):
+    passage, unique = prose(60, 77)[:150], [prose(80, 800 + i) for i in range(6)]
+    rows = [(None, passage + unique[0]), (None, unique[1] + passage), (3, unique[2]), (3, unique[3] + passage + unique[4][:50]), (3, unique[3] + passage + unique[4][:50]), (9, unique[5] + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "1 as copy", "2 as doc").repartition(3)
+    out, c = repeats.cut_repeats(docs)
+    got = out.collect()
+    assert out.columns[:4] == docs.columns and len(got) == len(rows)
+    # in the order of key, then hash of the text, one copy of the passage stays
+    def digest(t):
+        return spark.sql("SELECT xxhash64(0, :t)", {"t": t}).first()[0]
+    distinct = sorted({(k, t) for k, t in rows}, key=lambda x: (x[0] is not None, x[0] or 0, digest(x[1])))
+    want = brute.without_repeats([(i, t) for i, (_, t) in enumerate(distinct)])
+    for r in got:
+        n, removed, spans, kept = want[distinct.index((r["doc_id"], r["text"]))]
+        assert (r[c["removed"]], len(r[c["spans"]]), bytes(r[c["kept"]])) == (removed, spans, kept)
+    assert sum(r[c["removed"]] > 0 for r in got) in (3, 4)
+
+
 def test_equal_windows():
     r = random.Random(1)
     for _ in range(50):
