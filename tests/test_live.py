@@ -186,3 +186,29 @@ def test_a_failing_read_stops_the_batch(spark, tmp_dir):
     with pytest.raises(Exception):  # noqa: B017
         t.compact(0)
     assert t._versions("pointer") == []
+
+
+def test_closed_episodes_equal_batch(spark, tmp_dir):
+    r = random.Random(5)
+    rows, t = [], 0
+    for i in range(300):
+        t += r.choice([60_000_000, DAY // 3, DAY // 2])
+        rows.append((r.choice("aab"), t, r.randrange(3), i))
+    for p in "cd":  # gaps of exactly and just over a day
+        rows += [(p, 5 * DAY, 0, 1000), (p, 6 * DAY + (p == "d"), 0, 1001)]
+    last = max(x[1] for x in rows)
+    end = [("z", last + 10 * DAY, 0, 2000), ("z", last + 11 * DAY, 0, 2001)]  # moves the watermark past all others
+    frame_of = lambda x: spark.createDataFrame(x, "patient_id string, t long, src int, rec_offset long").withColumn("t", F.timestamp_micros("t"))
+    path = os.path.join(tmp_dir, "in")
+    rows.sort(key=lambda x: x[1])
+    for part in (rows[:100], rows[100:], end[:1], end[1:]):
+        frame_of(part).coalesce(1).write.mode("append").parquet(path)
+    src = stream_source(spark, "parquet", frame_of(rows).schema, path=path, maxFilesPerTrigger=1)
+    out = os.path.join(tmp_dir, "out")
+    (ctx.closed_episodes(src, "1 hour").writeStream.format("parquet").outputMode("append").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+     .option("path", out).trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.parquet(out)
+    want = ctx.context_episodes(frame_of(rows)).drop("episode")
+    assert want.where("patient_id = 'c'").count() == 1 and want.where("patient_id = 'd'").count() == 2
+    assert got.where("patient_id <> 'z'").select(want.columns).exceptAll(want).count() == 0
+    assert got.where("patient_id <> 'z'").count() == want.count()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wardline import rules
 from wardline.functions.scalar import fmt_fixed, py_repr
+from wardline.operators.sequence import global_rank, spread
 
 KEY = "patient_id"
 
@@ -71,6 +72,13 @@ def alert_summary(reasons: DataFrame) -> DataFrame:
     )
 
 
+def ranked_alerts(summary: DataFrame, ids: DataFrame) -> DataFrame:
+    """Alert rows with their rank: most reasons first, critical before warning, then
+    patient.  ``ids`` are patients that tell how to spread ties over tasks."""
+    keyed = summary.withColumn("_less", -F.col("n_reasons"))
+    return global_rank(keyed, ["_less", "severity", KEY], [F.col("_less"), (F.col("severity") != "critical").cast("long"), spread(ids, KEY)]).drop("_less")
+
+
 def rank_top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     """Top-n with a rank: ``orderBy().limit(n)`` (per-task top-n, one merge of
     n rows), then ranks on those n rows only."""
@@ -91,8 +99,8 @@ def attention_top(reasons: DataFrame, n: int = 20) -> DataFrame:
 def patient_list(context: DataFrame, current: DataFrame, risk: DataFrame | None = None) -> DataFrame:
     """Patient list rows: demographics, condition/medication names and
     counts, time of the last update, per-vital value / units / trend / pct (pivot
-    over the six known vitals in one aggregation) and the patient's risk score
-    (left join), in the order of the patient ids (a range sort)."""
+    over the six known vitals in one aggregation) the patient's risk score
+    (left join), and its rank in the order of the patient ids."""
     names = [v[2] for v in rules.VITALS]
     piv = current.groupBy(KEY).pivot("vital", names).agg(
         F.first("value").alias("value"), F.first("units").alias("units"), F.first("direction").alias("trend"),
@@ -103,7 +111,7 @@ def patient_list(context: DataFrame, current: DataFrame, risk: DataFrame | None
         .join(piv, KEY, "left")
     if risk is not None:
         out = out.join(risk.select(KEY, "risk_level", "risk_pct", "readmit_probability"), KEY, "left")
-    return out.orderBy(KEY)
+    return global_rank(out, [KEY], [spread(context, KEY)])
 
 
 def patient_list_small(context: DataFrame, n: int = 50) -> DataFrame:
@@ -149,8 +157,8 @@ def action_queue(summary: DataFrame, risk: DataFrame, w_critical: float = 50.0,
                  max_reasons: int = 5, w_risk: float = 0.5) -> DataFrame:
     """Acute alerts merged with chronic risk (full outer join on patient):
     a patient qualifies with an alert or a HIGH/CRITICAL level; score =
-    w_critical*critical + w_reason*min(reasons, max_reasons) + w_risk*risk_pct,
-    highest first."""
+    w_critical*critical + w_reason*min(reasons, max_reasons) + w_risk*risk_pct;
+    ``rank`` counts from the highest (ties by patient)."""
     j = summary.join(risk.select(KEY, "risk_level", "risk_pct"), KEY, "full_outer")
     n = F.coalesce(F.col("n_reasons"), F.lit(0))
     sev = F.coalesce(F.col("severity"), F.lit("none"))
@@ -161,7 +169,9 @@ def action_queue(summary: DataFrame, risk: DataFrame, w_critical: float = 50.0,
     for s, e, text in ACTIONS:
         c = (sev == s) & (elevated == e)
         action = F.when(c, text) if action is None else action.when(c, text)
-    return j.where((n > 0) | elevated).select(
+    queue = j.where((n > 0) | elevated).select(
         KEY, n.cast("long").alias("n_reasons"), sev.alias("severity"), "risk_level",
         F.col("risk_pct").cast("double").alias("risk_pct"), F.round(score, 2).alias("score"),
-        action.alias("action")).orderBy(F.desc("score"), KEY)
+        action.alias("action")).withColumn("_less", -F.col("score"))
+    cents = F.round(F.col("_less") * 100).cast("long")  # a score has two decimals, so rows of one number are ties
+    return global_rank(queue, ["_less", KEY], [cents, spread(risk, KEY)]).drop("_less")

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import rules
-from wardline.operators.sequence import sequence_ops
 
 KEY = "patient_id"
 
@@ -190,29 +189,48 @@ def context_updates(readings: DataFrame, conditions: DataFrame, medications: Dat
             .where((F.coalesce(KEY, F.lit("")) != "") & F.col("t").isNotNull()))
 
 
-def _with_starts(updates: DataFrame, ttl_seconds: int) -> DataFrame:
-    """Updates with ``_new`` 1 where a document starts: the patient's first, or
-    more than ``ttl_seconds`` after the last one."""
-    lagged = sequence_ops(updates, KEY, ["t", "src", "rec_offset"], lags={"_prev": "t"})
-    gap = F.unix_micros("t") - F.unix_micros("_prev")
-    return lagged.withColumn("_new", F.when(gap.isNull() | (gap > ttl_seconds * 1_000_000), 1).otherwise(0)).drop("_prev")
+def _stretches(updates: DataFrame) -> DataFrame:
+    """Each patient's updates by the hour: first and last time, count.  Updates of one
+    hour are never parted by a gap of a day, so episodes can be told from these few
+    rows; a very active patient's updates are folded in each task."""
+    hour = F.floor(F.unix_micros("t") / 3_600_000_000)
+    return updates.groupBy(KEY, hour.alias("hour")).agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count(F.lit(1)).alias("updates"))
+
+
+def _sessions(updates: DataFrame, ttl_seconds: int) -> DataFrame:
+    """``(patient_id, started_at, last_update, updates)`` of each episode: session
+    windows over the hours, each as long as its updates and the time to live.  Spark
+    joins windows that touch, so an update exactly ``ttl_seconds`` after the last one
+    still belongs to it."""
+    length = F.make_interval(secs=((F.unix_micros("hi") - F.unix_micros("lo") + F.lit(ttl_seconds * 1_000_000)) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+    return (_stretches(updates).groupBy(KEY, F.session_window("lo", length).alias("_w"))
+            .agg(F.min("lo").alias("started_at"), F.max("hi").alias("last_update"), F.sum("updates").alias("updates")).drop("_w"))
 
 
 def context_episodes(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
     """TTL episodes of ``context_updates``: a gap of more than ``ttl_seconds``
     without any update expires the document, and the next message starts a fresh
-    one.  The gap is a lag and the episode number a running count, both from the
-    bucketed sequence primitive, so a very active patient is spread over many
-    tasks."""
-    ep = sequence_ops(_with_starts(updates, ttl_seconds), KEY, ["t", "src", "rec_offset"], running_sums={"episode": "_new"})
-    return ep.groupBy(KEY, "episode").agg(
-        F.min("t").alias("started_at"), F.max("t").alias("last_update"), F.count(F.lit(1)).alias("updates"),
-    ).withColumn("expires_at", F.col("last_update") + F.make_dt_interval(secs=F.lit(ttl_seconds)))
+    one.  Episodes are numbered in order; a patient has at most one for each gap, so
+    the numbering window stays small however many updates there are."""
+    numbered = F.row_number().over(Window.partitionBy(KEY).orderBy("started_at")).cast("long")
+    return _sessions(updates, ttl_seconds).select(
+        KEY, numbered.alias("episode"), "started_at", "last_update", "updates",
+        (F.col("last_update") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("expires_at"))
 
 
 def document_starts(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
     """``(patient_id, started_at)`` of each patient's newest document."""
-    return _with_starts(updates, ttl_seconds).groupBy(KEY).agg(F.max(F.when(F.col("_new") == 1, F.col("t"))).alias("started_at"))
+    return _sessions(updates, ttl_seconds).groupBy(KEY).agg(F.max("started_at").alias("started_at"))
+
+
+def closed_episodes(updates: DataFrame, delay: str, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
+    """Episodes of a stream of ``context_updates``, each once it has ended (append
+    mode): session windows behind a watermark of ``delay``.  Updates older than the
+    watermark are late and count nowhere."""
+    w = F.session_window("t", f"{ttl_seconds} seconds")
+    return (updates.withWatermark("t", delay).groupBy(KEY, w.alias("_w"))
+            .agg(F.min("t").alias("started_at"), F.max("t").alias("last_update"), F.count(F.lit(1)).alias("updates"))
+            .select(KEY, "started_at", "last_update", "updates", (F.col("last_update") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("expires_at")))
 
 
 def in_document(rows: DataFrame, starts: DataFrame, time_col: str) -> DataFrame:

@@ -75,6 +75,36 @@ def breakdown(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
     return g.select(dim.alias("dimension"), F.coalesce(*names).alias("value"), "errors").where("value is not null")
 
 
+#: Items that the sketch of ``top_reasons`` tracks; it may miss an item that makes up
+#: less than 8 in so many rows.
+TRACKED = 100_000
+
+
+def top_reasons(dlq: DataFrame, k: int = 10, tracked: int = TRACKED) -> DataFrame:
+    """The ``k`` most frequent exact reasons with their counts and ranks (ties by
+    text).  Reasons carry values, so they may be as many as the records.
+
+    First pass: a frequent-items sketch of fixed size finds the candidates.  Second
+    pass: exact counts of the candidates alone, which are few enough to broadcast.
+    The sketch misses no reason that occurs more than ``8 / tracked`` of all rows, so
+    the answer is exact if the last of the k does; else all reasons are counted."""
+    reason = F.coalesce("error_reason", F.lit("unknown"))
+    wide = min(10 * k, tracked)
+    found = dlq.agg(F.expr(f"approx_top_k(coalesce(error_reason, 'unknown'), {wide}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    candidates = dlq.sparkSession.createDataFrame([(x["item"],) for x in found["top"] or []], "reason string")
+    rows = dlq.select(reason.alias("reason"))
+    counts = rows.join(F.broadcast(candidates), "reason", "left_semi").groupBy("reason").agg(F.count(F.lit(1)).alias("errors"))
+    top = counts.orderBy(F.desc("errors"), "reason").limit(k)
+    kept = top.collect()  # k rows
+    beyond = 8 * (found["n"] or 0) / tracked
+    complete = len(found["top"] or []) < wide and beyond < 1
+    if not complete and (len(kept) < k or kept[-1]["errors"] <= beyond or (found["top"] and kept[-1]["errors"] <= min(x["count"] for x in found["top"]))):
+        top = rows.groupBy("reason").agg(F.count(F.lit(1)).alias("errors")).orderBy(F.desc("errors"), "reason").limit(k)
+        kept = top.collect()
+    ranked = [(r["reason"], r["errors"], i + 1) for i, r in enumerate(kept)]
+    return dlq.sparkSession.createDataFrame(ranked, "reason string, errors long, rank long")
+
+
 def timeline(dlq: DataFrame, last_n: int | None = None) -> DataFrame:
     """Errors per hour (first 13 characters of the ISO failure time)."""
     return ring(dlq, last_n).where(F.col("failed_at").isNotNull()) \

@@ -10,7 +10,7 @@ the patient key (AQE splits a hot patient's partition).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline import rules
@@ -141,16 +141,19 @@ def dlq_records(rejected: DataFrame, failed_at_col: str = "ingest_ts",
     )
 
 
+COUNTERS = ("total", "vitals", "produced", "skipped_non_vital", "sent_to_dlq", "errors")
+
+
+def counters() -> list[Column]:
+    """The producer's counters over classified rows, as aggregates."""
+    is_vital, is_valid = F.col("is_vital"), F.col("is_valid")
+    found = (F.count(F.lit(1)), F.count_if(is_vital), F.count_if(is_valid), F.count_if(~is_vital), F.count_if(is_vital & ~is_valid), F.count_if(F.lit(False)))
+    return [c.alias(n) for c, n in zip(found, COUNTERS, strict=True)]
+
+
 def ingest_stats(classified: DataFrame) -> DataFrame:
     """Producer counters in one global aggregate (partial per task)."""
-    return classified.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("is_vital")).alias("vitals"),
-        F.count_if(F.col("is_valid")).alias("produced"),
-        F.count_if(~F.col("is_vital")).alias("skipped_non_vital"),
-        F.count_if(F.col("is_vital") & ~F.col("is_valid")).alias("sent_to_dlq"),
-        F.lit(0).cast("long").alias("errors"),
-    )
+    return classified.agg(*counters())
 
 
 def first_n(df: DataFrame, n: int, order_col: str = "rec_offset") -> DataFrame:

@@ -82,3 +82,29 @@ def sequence_ops(df: DataFrame, key: str, order: list[str], row_number: str | No
         *[total(o, c) for o, c in sums.items()],
         *[F.when(F.col("_rn") == 1, F.col(f"_edge_{o}")).otherwise(F.col(f"_lag_{o}")).alias(o) for o in lags],
         *[F.when(F.col("_end"), F.col(f"_edge_{o}")).otherwise(F.col(f"_lead_{o}")).alias(o) for o in leads])
+
+
+def text_order(column: Column) -> Column:
+    """A long that never falls as a text rises: its first seven bytes."""
+    return F.conv(F.rpad(F.substring(F.hex(F.encode(column, "UTF-8")), 1, 14), 14, "0"), 16, 10).cast("long")
+
+
+def spread(ids: DataFrame, column: str, buckets: int = 256) -> Column:
+    """The bucket of a text among about equal shares of the rows of ``ids``: how many
+    of the shares' bounds (a sketch of the first bytes) lie below it."""
+    bounds = ids.agg(F.percentile_approx(text_order(F.col(column)), [i / buckets for i in range(1, buckets)], 10 * buckets)).scalar()
+    at = text_order(F.col(column))
+    # its place among the bounds; a subquery may not stand inside a lambda
+    return F.array_position(F.sort_array(F.array_append(F.coalesce(bounds, F.array().cast("array<bigint>")), at)), at)
+
+
+def global_rank(df: DataFrame, order: list[str], bucket: list[Column], name: str = "rank") -> DataFrame:
+    """``df`` with ``name``: the number of a row (from 1) in ``order`` over the whole
+    table, as ``row_number`` over one window gives it, but numbered bucket by bucket.
+
+    ``bucket``: longs that, compared one after the other, never fall as the order
+    rises; ``spread`` splits the ties of a number, if equal numbers are ties, further
+    by a text."""
+    whole = "_whole"
+    ranked = sequence_ops(df.withColumn(whole, F.lit(0)), whole, order, row_number=name, bucket=F.struct(*[b.alias(f"b{i}") for i, b in enumerate(bucket)]))
+    return ranked.drop(whole)

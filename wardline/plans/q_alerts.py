@@ -62,13 +62,14 @@ def q_alert_reasons(spark, d):
 
 
 @register("alerts", W("""
-    SELECT a.*, c.patient_age AS age, c.patient_gender AS gender, c.conditions
+    SELECT a.*, c.patient_age AS age, c.patient_gender AS gender, c.conditions,
+           row_number() OVER (ORDER BY n_reasons DESC, severity, patient_id) AS rank
     FROM alert_sum a JOIN context_now c USING (patient_id)""", "alert_sum", "context_now"))
 def q_alerts(spark, d):
     s = al.alert_summary(reasons(spark, d))
     c = context(spark, d).select("patient_id", F.col("patient_age").alias("age"),
                                  F.col("patient_gender").alias("gender"), F.to_json("conditions").alias("conditions"))
-    return s.join(c, "patient_id").orderBy(F.desc("n_reasons"), "severity", "patient_id")  # critical before warning
+    return al.ranked_alerts(s.join(c, "patient_id"), c)
 
 
 @register("attention_reasons", W("SELECT patient_id, vital, rule, msg FROM attention", "attention"))
@@ -93,7 +94,8 @@ _PIVOT = ", ".join(
 @register("patient_list", W(f"""
     SELECT c.patient_id, c.patient_age AS age, c.patient_gender AS gender, c.conditions, c.medications,
            c.condition_count, c.medication_count, c.last_update AS last_updated, p.* EXCLUDE (patient_id),
-           t.risk_level, cast(t.risk_pct as double) AS risk_pct, t.readmit_probability
+           t.risk_level, cast(t.risk_pct as double) AS risk_pct, t.readmit_probability,
+           row_number() OVER (ORDER BY c.patient_id) AS rank
     FROM context_now c
     LEFT JOIN (SELECT patient_id, {_PIVOT} FROM current_now GROUP BY patient_id) p ON p.patient_id = c.patient_id
     LEFT JOIN top_stay t ON t.patient_id = c.patient_id""", "context_now", "current_now", "top_stay"))
@@ -129,6 +131,7 @@ def q_source_impact(spark, d):
 
 
 @register("action_queue", W("""
+    SELECT *, row_number() OVER (ORDER BY score DESC, patient_id) AS rank FROM (
     SELECT patient_id, coalesce(n_reasons, 0) AS n_reasons, coalesce(severity, 'none') AS severity, risk_level,
            cast(risk_pct as double) AS risk_pct,
            round(CASE WHEN coalesce(severity, 'none') = 'critical' THEN 50.0 ELSE 0.0 END
@@ -143,7 +146,7 @@ def q_source_impact(spark, d):
                 WHEN coalesce(risk_level IN ('HIGH', 'CRITICAL'), false) THEN 'Schedule transition-of-care follow-up'
            END AS action
     FROM alert_sum a FULL OUTER JOIN (SELECT patient_id, risk_level, risk_pct FROM top_stay) t USING (patient_id)
-    WHERE coalesce(n_reasons, 0) > 0 OR coalesce(risk_level IN ('HIGH', 'CRITICAL'), false)""",
+    WHERE coalesce(n_reasons, 0) > 0 OR coalesce(risk_level IN ('HIGH', 'CRITICAL'), false))""",
                              "alert_sum", "top_stay"))
 def q_action_queue(spark, d):
     return al.action_queue(al.alert_summary(reasons(spark, d)), risk_latest(spark, d))

@@ -105,6 +105,14 @@ def q_dlq_breakdown(spark, d):
     return dq.breakdown(dq.with_field(dlq(spark, d)))
 
 
+@register("dlq_top_reasons", W("""
+    SELECT coalesce(error_reason, 'unknown') AS reason, count(*) AS errors,
+           row_number() OVER (ORDER BY count(*) DESC, coalesce(error_reason, 'unknown')) AS rank
+    FROM dlq GROUP BY 1 QUALIFY rank <= 10""", "dlq"))
+def q_dlq_top_reasons(spark, d):
+    return dq.top_reasons(dlq(spark, d), 10)
+
+
 @register("dlq_timeline", W("""
     SELECT strftime(failed_at, '%Y-%m-%dT%H') AS hour, count(*) AS errors FROM dlq
     WHERE failed_at IS NOT NULL GROUP BY 1""", "dlq"))

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.operators import tables
+from wardline.operators import changes, tables
 from wardline.plans.fixture_sql import with_fixtures as W
 from wardline.plans.q_ingest import enriched
 from wardline.plans.registry import register
 from wardline.sources import fixtures as fx
-from wardline.sources import stream
+from wardline.sources import poll, stream
 
 
 @register("conditions_latest", W("""
@@ -78,24 +78,24 @@ def q_vitals_stream(spark, d):
     return stream.declare_stream(enriched(spark, d), stream.VITALS_STREAM)
 
 
-@register("conditions_stream", W("""
-    SELECT patient_id, condition_code, condition_name, status, severity,
-           cast(updated_at as varchar) AS updated_at, rec_offset
-    FROM conditions""", "conditions"))
+def _declared(schema: T.StructType, table: str, present: set[str]) -> str:
+    """A declared stream in SQL: fields that the source lacks are typed nulls; the
+    serial number of a row is its arrival."""
+    kinds = {"string": "VARCHAR", "int": "INTEGER", "double": "DOUBLE"}
+    cols = [f"CAST({'rec_offset' if f.name == 'id' else f.name if f.name in present else 'NULL'} AS {kinds[f.dataType.simpleString()]}) AS {f.name}" for f in schema.fields]
+    return f"SELECT {', '.join(cols)}, rec_offset FROM {table}"
+
+
+@register("conditions_stream", W(_declared(
+    stream.CONDITIONS_STREAM, "conditions", {"patient_id", "condition_code", "condition_name", "status", "severity", "updated_at"}), "conditions"))
 def q_conditions_stream(spark, d):
-    # fields the source does not carry are typed nulls in the declared
-    # stream; the check compares the populated ones
-    s = stream.declare_stream(fx.landed(spark, d, "conditions"), stream.CONDITIONS_STREAM)
-    return s.drop("id", "diagnosed_date", "notes", "created_at")
+    return stream.declare_stream(fx.landed(spark, d, "conditions").withColumn("id", F.col("rec_offset")), stream.CONDITIONS_STREAM)
 
 
-@register("medications_stream", W("""
-    SELECT patient_id, medication_name, dosage, frequency, route, status,
-           cast(updated_at as varchar) AS updated_at, rec_offset
-    FROM medications""", "medications"))
+@register("medications_stream", W(_declared(
+    stream.MEDICATIONS_STREAM, "medications", {"patient_id", "medication_name", "dosage", "frequency", "route", "status", "updated_at"}), "medications"))
 def q_medications_stream(spark, d):
-    s = stream.declare_stream(fx.landed(spark, d, "medications"), stream.MEDICATIONS_STREAM)
-    return s.drop("id", "prescriber", "start_date", "end_date", "notes", "created_at")
+    return stream.declare_stream(fx.landed(spark, d, "medications").withColumn("id", F.col("rec_offset")), stream.MEDICATIONS_STREAM)
 
 
 _MED_FIELDS = ["patient_id", "medication_name", "dosage", "frequency", "route", "status"]
@@ -117,6 +117,30 @@ def q_incremental_poll(spark, d):
     return stream.incremental_poll(fx.landed(spark, d, "conditions"), "updated_at", "2000-01-01 00:00:00")
 
 
+@register("poll_page", W("""
+    SELECT * FROM conditions WHERE (updated_at, patient_id || ':' || rec_offset) > (TIMESTAMP '1998-01-01 00:00:00', 'P0001:5')
+    ORDER BY updated_at, patient_id || ':' || rec_offset LIMIT 1000""", "conditions"))
+def q_poll_page(spark, d):
+    c = fx.landed(spark, d, "conditions").withColumn("k", F.concat("patient_id", F.lit(":"), "rec_offset"))
+    return poll.page(c, "updated_at", "k", ("1998-01-01 00:00:00", "P0001:5"), 1000).drop("k")
+
+
+@register("change_apply", W("""
+    SELECT patient_id, medication_name, dosage, frequency, route, status, op, position
+    FROM (SELECT patient_id, medication_name, dosage, frequency, route, status, op, rec_offset AS position,
+                 row_number() OVER (PARTITION BY patient_id, medication_name ORDER BY rec_offset DESC) AS r FROM medications)
+    WHERE r = 1 AND op <> 'd'""", "medications"))
+def q_change_apply(spark, d):
+    """The table after a snapshot of the first half of each log and a log that
+    overlaps it, out of order, with replays."""
+    log = fx.landed(spark, d, "medications").select(*_MED_FIELDS, "op", F.col("rec_offset").alias("position"))
+    half = F.pmod(F.xxhash64("patient_id"), F.lit(20)) + 5
+    snapshot = changes.merged(log.where(F.col("position") <= half), ["patient_id", "medication_name"])
+    late = log.where(F.col("position") > half - 4)
+    replayed = late.unionAll(late.where(F.col("position") % 3 == 0))
+    return changes.apply_changes(snapshot, replayed, ["patient_id", "medication_name"])
+
+
 @register("topic_route", W("""
     SELECT rec_offset, 'patient-conditions' AS topic, patient_id AS "key" FROM conditions""", "conditions"))
 def q_topic_route(spark, d):

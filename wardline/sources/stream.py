@@ -159,6 +159,34 @@ def encode_topic(df: DataFrame, key_col: str, columns: list[str], fmt: str = "js
     return df.select(F.col(key_col).cast("string").alias("key"), value.alias("value"))
 
 
+def strip_registry_header(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Registry-framed messages: a zero byte, four bytes with the number of the
+    schema, then the body.  ``value_col`` becomes the body, ``schema_id`` the number;
+    both are null for a message that is not framed so (too short, another first
+    byte)."""
+    v = F.col(value_col)
+    framed = (F.octet_length(v) >= 5) & (F.hex(F.substring(v, 1, 1)) == "00")
+    number = F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("long")
+    return df.withColumns({value_col: F.when(framed, F.substring(v, 6, 2**31 - 1)), "schema_id": F.when(framed, number)})
+
+
+def decode_registry_avro(df: DataFrame, schemas: dict[int, str], reader: str, value_col: str = "value", decode=None) -> DataFrame:
+    """Registry-framed Avro messages to columns of the ``reader`` schema.  Each body
+    is decoded with the schema that wrote it, by its number; messages of an unknown
+    number, unframed ones and undecodable ones get ``_corrupt``.  ``decode(column,
+    writer, reader)`` stands for ``from_avro`` (needs the spark-avro package)."""
+    if decode is None:
+        from pyspark.sql.avro.functions import from_avro
+
+        def decode(column, writer, wanted):
+            return from_avro(column, wanted, {"mode": "PERMISSIVE", "avroSchema": writer})
+    framed = strip_registry_header(df.withColumn("_some", F.col(value_col).isNotNull()), value_col)
+    branches = [F.when(F.col("schema_id") == number, decode(F.col(value_col), writer, reader)) for number, writer in sorted(schemas.items())]
+    parsed = framed.withColumn("_p", F.coalesce(*branches))
+    keep = [c for c in df.columns if c != value_col]
+    return parsed.select(*keep, "schema_id", "_p.*", (F.col("_p").isNull() & F.col("_some")).alias("_corrupt"))
+
+
 def decode_topic(df: DataFrame, schema: T.StructType | str, fmt: str = "json", value_col: str = "value") -> DataFrame:
     """Messages back to columns: JSON by ``decode_json``, Avro by its reader
     schema (a JSON string; undecodable messages give null columns)."""

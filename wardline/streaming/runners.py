@@ -18,7 +18,7 @@ named by ``spark.checkpoint.dir`` (see ``wardline.session``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import rules
@@ -87,16 +87,21 @@ def start_ingest(obs_stream: DataFrame, patients: DataFrame, out_dir: str, check
                  trigger: dict | None = None):
     """Validate and enrich a stream of observation rows; valid vitals and
     dead letters are appended to two tables from the same persisted batch
-    (stream-static join against the patient dimension)."""
+    (stream-static join against the patient dimension).  The batch's counters are
+    observed while it is computed, without a scan of their own, and kept by batch
+    (``ingest_counters``)."""
     dim = ingest.patients_dim(patients)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        c = ingest.classify_observations(df, dim).persist()
+        seen = Observation("ingest")
+        c = ingest.classify_observations(df, dim).observe(seen, *ingest.counters()).persist()
         try:
             VersionedTable(df.sparkSession, f"{out_dir}/vitals").write(
                 ingest.enrich_vitals(c.where("is_valid")), batch_id)
             VersionedTable(df.sparkSession, f"{out_dir}/dlq").write(
                 ingest.dlq_records(c.where(F.col("is_vital") & ~F.col("is_valid"))), batch_id)
+            row = df.sparkSession.createDataFrame([seen.get], ", ".join(f"{n} long" for n in ingest.COUNTERS))
+            VersionedTable(df.sparkSession, f"{out_dir}/counters").write(row, batch_id)
         finally:
             c.unpersist()
 
@@ -104,6 +109,11 @@ def start_ingest(obs_stream: DataFrame, patients: DataFrame, out_dir: str, check
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def ingest_counters(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The producer's counters over all committed batches of ``start_ingest``."""
+    return spark.read.parquet(f"{out_dir}/counters").agg(*[F.sum(n).alias(n) for n in ingest.COUNTERS])
+
+
 def start_append(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, fmt: str = "parquet"):
     """Append-mode sink for stateless derived streams (file sink is
     exactly-once through its commit log)."""
