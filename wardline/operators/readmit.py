@@ -243,28 +243,6 @@ def risk_by_age_group(risk: DataFrame) -> DataFrame:
         F.round(F.avg("actual_label"), 4).alias("readmit_rate"))
 
 
-def readmission_model(features: DataFrame, max_iter: int = 20) -> DataFrame:
-    """Logistic-regression readmission model trained on the features,
-    scoring every stay (``pyspark.ml``; distributed training)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    df = features.fillna({"gender": "?", "marital": "?"}).withColumn("label", F.col("readmitted_30d").cast("double"))
-    num = ["age_at_admit", "length_of_stay_days", "prior_admission_count", "condition_count",
-           "medication_count", "total_claim_cost"]
-    stages = [StringIndexer(inputCols=["gender", "marital"], outputCols=["_gi", "_mi"], handleInvalid="keep"),
-              OneHotEncoder(inputCols=["_gi", "_mi"], outputCols=["_go", "_mo"]),
-              VectorAssembler(inputCols=num + ["_go", "_mo"], outputCol="features", handleInvalid="keep"),
-              LogisticRegression(maxIter=max_iter, regParam=0.01)]
-    model = Pipeline(stages=stages).fit(df)
-    p = vector_to_array(F.col("probability"))[1]
-    out = model.transform(df).select("encounter_id", KEY, p.alias("readmit_probability"))
-    pct = F.round(F.col("readmit_probability") * 100, 1)
-    return out.withColumn("risk_pct", pct).withColumn("risk_level", risk_band(F.col("risk_pct")))
-
-
 def risk_fixture(spark: SparkSession, d: str) -> DataFrame:
     from wardline.sources import fixtures as fx
     return scored_stays(readmissions(fx.landed(spark, d, "stays")), fx.landed(spark, d, "patients"),

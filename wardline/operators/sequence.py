@@ -105,6 +105,9 @@ def global_rank(df: DataFrame, order: list[str], bucket: list[Column], name: str
     ``bucket``: longs that, compared one after the other, never fall as the order
     rises; ``spread`` splits the ties of a number, if equal numbers are ties, further
     by a text."""
-    whole = "_whole"
-    ranked = sequence_ops(df.withColumn(whole, F.lit(0)), whole, order, row_number=name, bucket=F.struct(*[b.alias(f"b{i}") for i, b in enumerate(bucket)]))
-    return ranked.drop(whole)
+    split = df.withColumn("_at", F.struct(*[b.alias(f"b{i}") for i, b in enumerate(bucket)]))
+    local = split.withColumn("_rn", F.row_number().over(Window.partitionBy("_at").orderBy(*order)).cast("long"))
+    # one row for each bucket, from the windows' own shuffle; only these meet in one task
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    parts = local.groupBy(F.col("_at").alias("_bucket")).agg(F.max("_rn").alias("_n")).select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return local.join(parts, F.col("_at").eqNullSafe(F.col("_bucket"))).select(*df.columns, (F.col("_rn") + F.col("_before")).alias(name))

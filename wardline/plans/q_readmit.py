@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wardline import rules
+from wardline.operators import model
 from wardline.operators import readmit as rm
 from wardline.plans.fixture_sql import add_fixture, with_fixtures as W
 from wardline.plans.registry import register
@@ -253,11 +254,21 @@ def q_top10_risk(spark, d):
     return rank_top(rm.top_risk_stay(risk(spark, d)), 10, [F.col("readmit_probability").desc(), F.col("patient_id")])
 
 
+def features(spark, d):
+    return rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
+
+
+def model_path(spark, d):
+    """Where the fitted model of these inputs is stored; it is fitted if it isn't yet."""
+    path = fx.stored_path(spark, d, "readmission-model")
+    if not model.fitted(spark, path):
+        model.fit(features(spark, d), path)
+    return path
+
+
 @register("readmission_model")
 def q_readmission_model(spark, d):
-    feats = rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"),
-                                 fx.landed(spark, d, "medications"))
-    return rm.readmission_model(feats)
+    return model.score(features(spark, d), model_path(spark, d))
 
 
 @register("adhoc_sql", W("""

@@ -226,12 +226,17 @@ def landed(spark: SparkSession, d: str, name: str) -> DataFrame:
     return land(spark, d, name, lambda: globals()[name](spark, d))
 
 
+def stored_path(spark: SparkSession, d: str, name: str, root: str | None = None) -> str:
+    """The folder of what is built once from the inputs ``d`` by this code."""
+    root = root or str(Path(__file__).resolve().parent.parent)
+    return scratch_path(spark, f"landed/{name}-{code_fingerprint(root)}-{input_fingerprint(spark, d)}")
+
+
 def land(spark: SparkSession, d: str, name: str, build, root: str | None = None) -> DataFrame:
     """Write ``build()`` once as a parquet table under the checkpoint folder and
     read it back.  Only a completed write counts: the table is written aside and
     renamed, so of two writers one wins and a write cut short is redone."""
-    root = root or str(Path(__file__).resolve().parent.parent)
-    path = scratch_path(spark, f"landed/{name}-{code_fingerprint(root)}-{input_fingerprint(spark, d)}")
+    path = stored_path(spark, d, name, root)
     with _LOCK:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
