@@ -28,7 +28,7 @@ def contaminated(docs, benchmark, k=10):
                 if found:
                     hit.update(range(i, i + n))
                     items |= found
-        out[doc] = len(w), len(hit), sorted(items)
+        out[doc] = len(w), len(hit), sorted(items, key=lambda i: (i is not None, i or 0) if not isinstance(i, str) else (True, i))
     return out
 
 

@@ -71,6 +71,14 @@ def test_decontamination_in_several_passes(docs, rows, benchmark, monkeypatch):
         assert (r[c]["n_hit"], r[c]["items"]) == (want[r["doc_id"]][1], [i for i in want[r["doc_id"]][2] if i is not None])
 
 
+def test_decontamination_with_ids_that_are_texts(spark, docs, rows, benchmark):
+    items = [(None if i is None else f"item-{i}", t) for i, t in benchmark[0]]
+    want = brute.contaminated(rows, items)
+    out, c = decontaminate.annotate(docs, spark.createDataFrame(items, "item_id string, text string"))
+    for r in out.collect():
+        assert (r[c]["n_hit"], r[c]["items"]) == (want[r["doc_id"]][1], sorted(i for i in want[r["doc_id"]][2] if i is not None))
+
+
 def test_empty_tables(spark, docs, benchmark):
     none = docs.limit(0)
     out, c = decontaminate.annotate(none, benchmark[1])

@@ -38,8 +38,22 @@ def test_stages_keep_the_columns_and_odd_rows(spark):
         assert stage(spark, spark.createDataFrame([], schema), SF).count() == 0
 
 
+def test_foreign_texts_go_and_clean_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    foreign = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.",
+               "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti.",
+               "def f(x): return [y**2 for y in range(x) if y % 2 == 0]; import os, sys", "a95f8013a8e106335957369e74af1c836a0da03c 841d82b07cb9b9f1"]
+    clean = ["the", "the of and that", "der die und", "and the"]
+    extra = spark.createDataFrame([(10**9 + i, t, None, "x", len(t)) for i, t in enumerate(foreign + clean)], docs.schema)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs.unionAll(extra), "").select("doc_id").collect()}
+    assert not kept & {10**9 + i for i in range(len(foreign))}
+    assert {10**9 + len(foreign) + i for i in range(len(clean))} <= kept
+    assert {r["doc_id"] for r in docs.where("text rlike '[a-z]'").select("doc_id").collect()} <= kept
+
+
 def test_the_registry_has_every_query():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))

@@ -18,10 +18,16 @@ WINDOW = 10
 #: Windows broadcast at once; more are taken in several passes over the documents.
 MAX_WINDOWS = 400_000
 
-HIT = T.StructType([
-    T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-    T.StructField("items", T.ArrayType(T.LongType())),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+def hit_type(item: T.DataType) -> T.StructType:
+    return T.StructType([
+        T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+        T.StructField("items", T.ArrayType(item)),
+        T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+
+
+def item_type(benchmark: DataFrame) -> T.DataType:
+    """How item ids are kept: integers as long, all others as strings."""
+    return T.LongType() if isinstance(benchmark.schema["item_id"].dataType, T.IntegralType) else T.StringType()
 
 
 def _words(data: np.ndarray, offs: np.ndarray) -> tuple:
@@ -37,6 +43,9 @@ def _span_text(norm: np.ndarray, s: int, e: int) -> bytes:
 def windows(benchmark: DataFrame, k: int = WINDOW) -> DataFrame:
     """``benchmark(item_id, text)`` -> distinct ``(h, words, text, items)``: the
     items' windows of k words, or the whole item if it has fewer but not none."""
+    kind = item_type(benchmark)
+    of = pa.int64() if isinstance(kind, T.LongType) else pa.string()
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offs in chunks(batch, "text"):
@@ -48,10 +57,10 @@ def windows(benchmark: DataFrame, k: int = WINDOW) -> DataFrame:
                         hs = gram_hashes(wh[lo:hi], n).view(np.int64).tolist()
                         out += [(h, n, _span_text(norm, s[i], e[i + n - 1]).decode(errors="replace"), item) for i, h in enumerate(hs, lo)]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.string(), pa.int64()), strict=True)], names=["h", "words", "text", "item_id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.string(), of), strict=True)], names=["h", "words", "text", "item_id"])
 
-    return (benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-            .transform(in_arrow, cut, "h long, words int, text string, item_id long")
+    return (benchmark.select(F.col("item_id").cast(kind), F.col("text").cast("string"))
+            .transform(in_arrow, cut, f"h long, words int, text string, item_id {kind.simpleString()}")
             .groupBy("h", "words", "text").agg(F.array_sort(F.collect_set("item_id")).alias("items")))
 
 
@@ -89,9 +98,10 @@ class _Index:
         return s, e, w, hit, items
 
 
-def _pass(index, text: str, column: str):
+def _pass(index, text: str, column: str, item: T.DataType):
     """mapInArrow function that adds one share's hits to struct ``column``."""
-    kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+    of = pa.int64() if isinstance(item, T.LongType) else pa.string()
+    kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(of)), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = _Index(index.value)
@@ -126,14 +136,16 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", k: int =
     text's maximal runs of hit words).
 
     Null or empty texts have no words; items without words have no windows; a
-    null item_id marks words but is in no list.  Repeated rows are judged each
+    null item_id marks words but is in no list; ids that are no integers are listed
+    as strings.  Repeated rows are judged each
     by itself.  The windows are broadcast ``MAX_WINDOWS`` at a time, so the
     broadcast is bounded for any benchmark; each further pass works on a
     written table.
     """
     spark = docs.sparkSession
     column = fresh(docs.columns, "hits")
-    out = docs.withColumn(column, F.lit(None).cast(HIT))
+    item = item_type(benchmark)
+    out = docs.withColumn(column, F.lit(None).cast(hit_type(item)))
     grams = store(windows(benchmark, k), "windows")
     shares = max(1, -(-grams.count() // MAX_WINDOWS))
     for i in range(shares):
@@ -141,7 +153,7 @@ def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", k: int =
         index = spark.sparkContext.broadcast([(r.h, r.words, r.text, r["items"]) for r in rows])
         if i:
             out = store(out, "decontaminate")
-        out = out.transform(in_arrow, _pass(index, text, column), out.schema)
+        out = out.transform(in_arrow, _pass(index, text, column, item), out.schema)
     return out, column
 
 
