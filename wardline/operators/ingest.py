@@ -10,6 +10,8 @@ the patient key (AQE splits a hot patient's partition).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,6 +49,12 @@ def _range_bounds():
     return lo, hi
 
 
+def _reason(template: str, **parts: Column) -> Column:
+    """A reason text with its ``{names}`` filled in."""
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[parts[x] if i % 2 else F.lit(x) for i, x in enumerate(pieces) if i % 2 or x])
+
+
 def classify_observations(obs: DataFrame, patients: DataFrame) -> DataFrame:
     """Adds ``is_vital``, ``error_reason`` (null = valid), ``num_value`` and the
     patient's ``_birthdate`` / ``_gender`` to every observation row.
@@ -71,13 +79,9 @@ def classify_observations(obs: DataFrame, patients: DataFrame) -> DataFrame:
     reason = (
         F.when(~F.col("is_vital"), F.lit(None).cast("string"))
         .when(s == "", F.lit(rules.REASON_MISSING_VALUE))
-        .when(num.isNull(), F.concat(F.lit("INVALID_VALUE: Cannot parse '"), s, F.lit("' as number")))
-        .when(out_of_range, F.concat(F.lit("OUT_OF_RANGE: "), F.col("CODE"), F.lit(" value "), py_repr(num),
-                                     F.lit(" outside valid range ["), lo.cast("string"), F.lit(", "),
-                                     hi.cast("string"), F.lit("]")))
-        .when(F.col("_pid").isNull(), F.concat(F.lit("UNKNOWN_PATIENT: Patient "),
-                                               F.substring(F.coalesce("PATIENT", F.lit("")), 1, 8),
-                                               F.lit("... not in patients.csv")))
+        .when(num.isNull(), _reason(rules.REASON_INVALID_VALUE, value=s))
+        .when(out_of_range, _reason(rules.REASON_OUT_OF_RANGE, code=F.col("CODE"), value=py_repr(num), lo=lo.cast("string"), hi=hi.cast("string")))
+        .when(F.col("_pid").isNull(), _reason(rules.REASON_UNKNOWN_PATIENT, id8=F.substring(F.coalesce("PATIENT", F.lit("")), 1, 8)))
         .when(F.coalesce(F.col("DATE"), F.lit("")) == "", F.lit(rules.REASON_MISSING_DATE))
     )
     ok = (F.col("is_vital") & (s != "") & num.isNotNull() & ~F.coalesce(out_of_range, F.lit(False))
