@@ -22,6 +22,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def folders(spark: SparkSession, path: str, start: str) -> list[str]:
+    """The names in the folder ``path`` that begin with ``start``; none if there is no
+    such folder."""
+    if not exists(spark, path):
+        return []
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return [n for n in (f.getPath().getName() for f in found) if n.startswith(start)]
+
+
 class KeyedTable:
     """Rows by ``keys``; a row whose ``gone`` column is true takes its key out."""
 
@@ -42,14 +52,7 @@ class KeyedTable:
     def _versions(self, part: str) -> list[int]:
         """The versions that have been marked whole: names of folders, no rows."""
         top = f"{self.path}/{part}"
-        return sorted(int(n[2:]) for n in self._names(top, "v=") if exists(self.spark, f"{top}/{n}/_SUCCESS"))
-
-    def _names(self, path: str, start: str) -> list[str]:
-        if not exists(self.spark, path):
-            return []
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        found = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)
-        return [n for n in (f.getPath().getName() for f in found) if n.startswith(start)]
+        return sorted(int(n[2:]) for n in folders(self.spark, top, "v=") if exists(self.spark, f"{top}/{n}/_SUCCESS"))
 
     def write(self, df: DataFrame, version: int) -> None:
         """Commit ``df``, one row for each key that changes, as ``version``."""
@@ -67,7 +70,7 @@ class KeyedTable:
         parts += [(f"{self.path}/delta/v={v}", v) for v in deltas]
         out: DataFrame | None = None
         for path, v in parts:
-            if not self._names(path, "bucket="):
+            if not folders(self.spark, path, "bucket="):
                 continue  # a batch without rows
             own = self.spark.read.option("recursiveFileLookup", "false").parquet(path).withColumn("_v", F.lit(v).cast("long"))
             out = own if out is None else out.unionByName(own, allowMissingColumns=True)

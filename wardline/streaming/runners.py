@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from wardline import rules
 from wardline.operators import context as ctx
 from wardline.operators import ingest
-from wardline.streaming.keyed import KeyedTable, exists
+from wardline.streaming.keyed import KeyedTable, folders
 
 
 class VersionedTable:
@@ -46,8 +46,8 @@ class VersionedTable:
          .partitionBy("v").parquet(self.path))
 
     def latest_version(self, before: int | None = None) -> int | None:
-        if not exists(self.spark, self.path):
-            return None  # any other failure of a read stops the caller
+        if not folders(self.spark, self.path, "v="):
+            return None  # no rows yet; any failure of a read stops the caller
         d = self.spark.read.parquet(self.path)
         if before is not None:
             d = d.where(F.col("v") < before)
