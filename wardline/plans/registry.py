@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: The tables behind the fixture projections.
+CLINICAL = ("customer", "orders", "lineitem", "part", "events")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -20,8 +22,12 @@ def register(key: str, sql: str | None = None):
             raise ValueError(f"duplicate query key {key}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from wardline.session import configure
-            return fn(configure(spark), sf_dir)
+            from wardline.session import configure, partitions_for
+            from wardline.sources.tables import stored_bytes
+            configure(spark)
+            least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions_for(stored_bytes(spark, sf_dir, CLINICAL), least)))
+            return fn(spark, sf_dir)
         run.__name__ = run.__qualname__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[key] = run

@@ -16,6 +16,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def stored_bytes(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> int:
+    """Stored size of the tables ``names`` that are there."""
+    conf, total = spark._jsc.hadoopConfiguration(), 0
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        fs = path.getFileSystem(conf)
+        total += fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+    return total
+
+
 # --- fixed values: header columns of the exports ---------------------------
 PATIENT_EXPORT = "Id BIRTHDATE GENDER RACE ETHNICITY MARITAL FIRST LAST CITY STATE".split()
 OBSERVATION_EXPORT = "DATE PATIENT ENCOUNTER CATEGORY CODE DESCRIPTION VALUE UNITS TYPE".split()
