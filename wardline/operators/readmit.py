@@ -56,7 +56,8 @@ def as_of_distinct_count(stays: DataFrame, log: DataFrame, name_col: str, ts_col
         KEY, "_t", F.lit(0).alias("_kind"), F.lit(1).alias("_inc"), F.lit(None).cast("long").alias("encounter_id"))
     st = stays.select(KEY, F.col("admit_time").alias("_t"), F.lit(1).alias("_kind"), F.lit(0).alias("_inc"),
                       "encounter_id")
-    u = sequence_ops(first.unionByName(st), KEY, ["_t", "_kind", "encounter_id"], running_sums={out: "_inc"})
+    weigh = log.select(KEY).unionAll(stays.select(KEY))  # at least as many as first times
+    u = sequence_ops(first.unionByName(st), KEY, ["_t", "_kind", "encounter_id"], running_sums={out: "_inc"}, weigh=weigh)
     return u.where(F.col("_kind") == 1).select("encounter_id", F.col(out).cast("long").alias(out))
 
 
