@@ -218,6 +218,13 @@ def context_episodes(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SE
         (F.col("last_update") + F.make_dt_interval(secs=F.lit(ttl_seconds))).alias("expires_at"))
 
 
+def newest_episode(episodes: DataFrame) -> DataFrame:
+    """Each patient's newest episode, alive or not."""
+    newest = episodes.groupBy(KEY).agg(F.max_by(F.struct("episode", "started_at", "last_update", "updates",
+                                                         "expires_at"), F.col("episode")).alias("_e"))
+    return newest.select(KEY, "_e.*")
+
+
 def document_starts(updates: DataFrame, ttl_seconds: int = rules.CONTEXT_TTL_SECONDS) -> DataFrame:
     """``(patient_id, started_at)`` of each patient's newest document."""
     return _sessions(updates, ttl_seconds).groupBy(KEY).agg(F.max("started_at").alias("started_at"))
@@ -243,10 +250,7 @@ def in_document(rows: DataFrame, starts: DataFrame, time_col: str) -> DataFrame:
 def context_live(episodes: DataFrame, as_of: str) -> DataFrame:
     """Documents still alive at ``as_of``: the patient's newest episode, if
     it has not expired.  Reads of expired ids find nothing."""
-    newest = episodes.groupBy(KEY).agg(F.max_by(F.struct("episode", "started_at", "last_update", "updates",
-                                                         "expires_at"), F.col("episode")).alias("_e"))
-    return (newest.select(KEY, "_e.*")
-            .where(F.col("expires_at") >= F.lit(as_of).cast("timestamp")))
+    return newest_episode(episodes).where(F.col("expires_at") >= F.lit(as_of).cast("timestamp"))
 
 
 def all_patients(*ids: DataFrame) -> DataFrame:

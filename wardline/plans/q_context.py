@@ -109,9 +109,14 @@ def updates(spark, d):
     return ctx.context_updates(readings(spark, d), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
 
 
+def newest(spark, d):
+    """The stored newest episode of each patient: the documents, alive or not."""
+    return fx.land(spark, d, "newest", lambda: ctx.newest_episode(ctx.context_episodes(updates(spark, d))))
+
+
 def starts(spark, d):
-    """The stored start of each patient's newest document."""
-    return fx.land(spark, d, "starts", lambda: ctx.document_starts(updates(spark, d)))
+    """The start of each patient's newest document."""
+    return newest(spark, d).select("patient_id", "started_at")
 
 
 def doc_sources(spark, d):
@@ -145,7 +150,7 @@ def seen(spark, d):
 
 def live(spark, d):
     """The stored documents that are alive at the reading time."""
-    return fx.land(spark, d, "live", lambda: ctx.context_live(ctx.context_episodes(updates(spark, d)), AS_OF))
+    return ctx.context_live(newest(spark, d), AS_OF)
 
 
 def context(spark, d):
