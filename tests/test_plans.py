@@ -33,6 +33,39 @@ def test_exec_summary_has_no_cartesian_product(spark):
     assert "CartesianProduct" not in plan(df) and "BroadcastNestedLoopJoin" not in plan(df)
 
 
+def test_documents_are_told_once(spark, tmp_dir, monkeypatch):
+    """The starts and the live documents come from one pass over the updates."""
+    import shutil
+
+    from wardline.plans import q_context
+    own, calls = f"{tmp_dir}/data", []
+    shutil.copytree(SF_SMALL, own)
+    updates = q_context.updates
+    monkeypatch.setattr(q_context, "updates", lambda s, d: calls.append(d) or updates(s, d))
+    assert q_context.starts(spark, own).count() >= q_context.live(spark, own).count()
+    assert len(calls) == 1
+
+
+def test_model_features_are_built_once(spark, tmp_dir, monkeypatch):
+    import shutil
+
+    from wardline.plans import q_readmit
+    own, calls = f"{tmp_dir}/data", []
+    shutil.copytree(SF_SMALL, own)
+    features = q_readmit.features
+    monkeypatch.setattr(q_readmit, "features", lambda s, d: calls.append(d) or features(s, d))
+    E.queries()["readmission_model"](spark, own).count()
+    assert len(calls) == 1
+
+
+def test_tasks_do_not_grow_with_the_input(spark):
+    from wardline import session
+    assert session.partitions_for(1 << 20, 4) == 4 and session.partitions_for(8 << 30, 4) == 1024
+    E.queries()["patients_dim"](spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_no_function_is_defined_twice():
     import ast
     from pathlib import Path

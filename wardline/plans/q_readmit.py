@@ -258,17 +258,22 @@ def features(spark, d):
     return rm.training_features(readm(spark, d), fx.landed(spark, d, "patients"), fx.landed(spark, d, "conditions"), fx.landed(spark, d, "medications"))
 
 
+def stored_features(spark, d):
+    """The training features, stored once: fitting reads them many times."""
+    return fx.land(spark, d, "features", lambda: features(spark, d))
+
+
 def model_path(spark, d):
     """Where the fitted model of these inputs is stored; it is fitted if it isn't yet."""
     path = fx.stored_path(spark, d, "readmission-model")
     if not model.fitted(spark, path):
-        model.fit(features(spark, d), path)
+        model.fit(stored_features(spark, d), path)
     return path
 
 
 @register("readmission_model")
 def q_readmission_model(spark, d):
-    return model.score(features(spark, d), model_path(spark, d))
+    return model.score(stored_features(spark, d), model_path(spark, d))
 
 
 @register("adhoc_sql", W("""
