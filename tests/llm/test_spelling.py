@@ -79,7 +79,8 @@ def rows():
         k = r.randint(1, 30)
         docs.append((len(docs) * 7 - 3, r.choice([" ", "1", "\u00a0", "\n", "-"]).join(words[at:at + k])))
         at += k
-    return docs + [(900, None), (901, ""), (None, "tidyword Tidyword tidywort"), (902, "\u00c3" * 9 + " " + "\u00ff" * 9), *docs[:3], docs[5], (903, docs[6][1])]
+    return docs + [(900, None), (901, ""), (None, "tidyword Tidyword tidywort"), (902, "\u00c3" * 9 + " " + "\u00ff" * 9), *docs[:3], docs[5], (903, docs[6][1]),
+                   *[(k, " ".join("nearby" + c + "word" for c in "abcdefghij")) for k in (904, 905, 906, 907)]]
 
 
 @pytest.mark.parametrize("limit", [spelling.BYTES, 200])
