@@ -1,9 +1,11 @@
 """Personal data: plain patterns against their definition, what the trees add, odd rows."""
 
+import functools
 import hashlib
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -144,3 +146,45 @@ def test_trees_learn_a_rule():
     assert ((model.margin(x[3000:]) > 0) == y[3000:]).mean() > 0.97
     assert pii.boost(x, np.zeros(4000)).margin(x).max() < 0
     assert pii.calibrated(np.array([3.0, 2.0, 1.0]), np.array([0.0, 1, 0])) == np.inf
+
+
+def test_every_text_and_candidate_is_learnt_from(spark):
+    """Kinds that few of many texts hold, and a text of more matches than others have."""
+    r = random.Random(31)
+    rows = [(i, f"row {r.randrange(10**6)} of {r.randrange(10**6)}") for i in range(12_000)]
+    rows += [(20_000 + i, f"pay {card(r)} by noon") for i in range(30)] + [(30_000, ", ".join(one(r, "email") for _ in range(90)))]
+    rows += rows[-1:]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = pii.counted(docs).collect()
+    want = {}
+    for text in {t for _, t in rows}:
+        for kind, right, x in pii.examples(text):
+            n, y = want.get(key := (kind, zlib.crc32(text.encode()) % pii.HELD_OUT == 1, tuple(map(int, x))), (0, 0))
+            want[key] = n + 1, y + right
+    assert {(x["kind"], x["held"], tuple(x["x"])): (x["n"], x["right"]) for x in got} == want
+    assert sum(k == pii.EMAIL and y for k, y, _ in pii.examples(rows[-1][1])) >= 90 * 7  # as it stands, beside numbers and addresses, in a disguise
+    model = pii.train(docs)
+    assert model.thresholds[pii.CARD] < np.inf
+    number = card(r)
+    assert (8, 24, pii.CARD) in model.added(f"pay 123 {number} by noon", [])
+
+
+def test_trees_grown_in_tasks_equal_the_drivers(spark, rows, monkeypatch):
+    docs = spark.createDataFrame(rows[:400], "doc_id long, text string")
+    monkeypatch.setattr(pii, "grow", functools.partial(pii.grow, rounds=9))
+    here = pii.train(docs)
+    monkeypatch.setattr(pii, "LOCAL", 0)
+    there = pii.train(docs.repartition(5))
+    assert here.thresholds == there.thresholds and any(x < np.inf for x in here.thresholds)
+    for a, b in zip(here.trees, there.trees, strict=True):
+        assert a.start == b.start and len(a.trees) == len(b.trees)
+        assert all(np.array_equal(x, y) for s, t in zip(a.trees, b.trees, strict=True) for x, y in zip(s, t, strict=True))
+    got = pii.counted(docs).where("kind = 3").toArrow()  # margins of values are those of their bins
+    x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, pii.FEATURES).astype(float)
+    assert np.isfinite(here.trees[3].margin(x)).all() and len(x)
+
+
+def test_sums_are_exact():
+    v = np.array([2**50 + 1, -(2**50), 3, -5, 2**40] * 1000)
+    key = np.arange(len(v)) % 3
+    assert pii._whole(key, v, 4).tolist() == [*(int(sum(map(int, v[key == k]))) for k in range(3)), 0]
